@@ -1,0 +1,98 @@
+"""Feature table queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import film
+from checks.film import film_sql
+from checks.registry import query, rounded
+from marquee.operators import relations
+from marquee.operators.history import earlier_successes
+from marquee.operators.scores import rating_stats
+from marquee.plans import features
+
+DATASET = "SELECT * FROM ml_training_dataset"
+
+
+def dataset(spark, sf):
+    return features.ml_training_dataset(film.tables(spark, sf), flags=film.FLAGS)
+
+
+@query(
+    "rating_stats",
+    film_sql(
+        "SELECT movie_id, n_samples, round(mean_score, 6) AS mean_score, round(median_score, 6) AS median_score, "
+        "round(stddev_score, 6) AS stddev_score, round(p90_score, 6) AS p90_score, min_score, max_score FROM movie_rating_stats"
+    ),
+)
+def _(spark, sf):
+    return rounded(rating_stats(film.movies(spark, sf), film.rating_samples(spark, sf)))
+
+
+@query("year_rank", film_sql("SELECT imdb_id, box_office_rank_in_year FROM ml_training_dataset"))
+def _(spark, sf):
+    return features.year_ranks({"movies": film.movies(spark, sf), "movie_box_office": film.box_office(spark, sf)})
+
+
+@query(
+    "year_zscore",
+    film_sql("SELECT imdb_id, votes_normalized_by_year, rating_normalized_by_year FROM ml_training_dataset"),
+)
+def _(spark, sf):
+    z = features.with_year_zscores(film.movies(spark, sf))
+    return rounded(z.select("imdb_id", "votes_normalized_by_year", "rating_normalized_by_year"))
+
+
+@query("bridge_counts", film_sql("SELECT movie_id, count(*) AS num_countries FROM movie_countries GROUP BY movie_id"))
+def _(spark, sf):
+    return relations.links_per_film(film.movie_countries(spark, sf), "num_countries")
+
+
+@query(
+    "role_counts",
+    film_sql(
+        "SELECT movie_id, count(*) FILTER (role = 'director') AS num_directors, count(*) FILTER (role = 'writer') AS num_writers, "
+        "count(*) FILTER (role = 'cast') AS num_cast FROM movie_people GROUP BY movie_id"
+    ),
+)
+def _(spark, sf):
+    return relations.roles_per_film(film.movie_people(spark, sf), features._ROLE_COUNTS)
+
+
+@query(
+    "type_flags",
+    film_sql(
+        "SELECT movie_id, count(*) AS num_genres, max(CAST(name = 'ECONOMY' AS INTEGER)) AS is_drama, "
+        "max(CAST(name = 'STANDARD' AS INTEGER)) AS is_biography, max(CAST(name = 'PROMO' AS INTEGER)) AS is_history "
+        "FROM genre_names GROUP BY movie_id"
+    ),
+)
+def _(spark, sf):
+    return relations.genre_summary(
+        film.part_bridge(spark, sf, "p_type", "genre_id"), film.part_dimension(spark, sf, "p_type"), film.FLAGS
+    )
+
+
+def _history(role):
+    def run(spark, sf):
+        return earlier_successes(film.movies(spark, sf), film.movie_people(spark, sf), role, "prev_nominations")
+
+    return run
+
+
+query("pedigree_director", film_sql("SELECT imdb_id AS movie_id, n AS prev_nominations FROM director_history"))(_history("director"))
+query("pedigree_cast", film_sql("SELECT imdb_id AS movie_id, n AS prev_nominations FROM cast_history"))(_history("cast"))
+
+
+@query("feature_table", film_sql(DATASET))
+def _(spark, sf):
+    return rounded(dataset(spark, sf))
+
+
+def _split(first, last):
+    return lambda spark, sf: rounded(features.split(dataset(spark, sf), first, last))
+
+
+for _name, (_first, _last) in film.SPLITS.items():
+    query(f"split_{_name}", film_sql(f"{DATASET} WHERE release_year BETWEEN {_first} AND {_last}"))(_split(_first, _last))
