@@ -19,6 +19,7 @@ def local_session(app: str = "marquee", cores: int | str = "*", partitions: int
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
