@@ -76,7 +76,7 @@ def _(spark, sf):
 
 def _history(role):
     def run(spark, sf):
-        return earlier_successes(film.movies(spark, sf), film.movie_people(spark, sf), role, "prev_nominations")
+        return earlier_successes(film.movies(spark, sf), film.movie_people(spark, sf), {"prev_nominations": role})
 
     return run
 

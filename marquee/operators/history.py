@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_PERSON = 5_000
+_FILM = ["role", "movie_id"]
 
 
 def earlier_successes(
-    films: DataFrame, involved: DataFrame, role: str, out: str, success: str = "nominated_oscar", hot: int = HOT_PERSON
+    films: DataFrame,
+    involved: DataFrame,
+    outputs: Mapping[str, str],
+    success: str = "nominated_oscar",
+    hot: int = HOT_PERSON,
 ) -> DataFrame:
-    """Per film, the number of distinct successful films of earlier years that share a person with it.
+    """Per film and role, the number of distinct successful films of earlier years that share a person with it.
 
-    The person counts in `role` for the film itself and in any role for the earlier film. Films without such history
-    are not in the result. `films`: imdb_id, release_year and the success flag; `involved`: movie_id, person_id, role.
+    The person counts in the named role for the film itself and in any role for the earlier film. `outputs` maps output
+    column to role. Films without any such history are not in the result. `films`: imdb_id, release_year and the
+    success flag; `involved`: movie_id, person_id, role.
 
     A person with few successes is joined row by row: at most `hot` pairs leave each bridge row. A person with more
     would give a pair for every two of their films, so those people are counted through cumulative counts per
     combination of such people and year, and never paired film by film.
     """
     years = films.select(F.col("imdb_id").alias("movie_id"), F.col("release_year").alias("year"))
-    people = involved.filter(F.col("role") == role).select("movie_id", "person_id").distinct()
+    people = involved.filter(F.col("role").isin(list(outputs.values()))).select("role", "movie_id", "person_id").distinct()
     mine = people.join(years, "movie_id")
     good = films.filter(F.col(success)).select(F.col("imdb_id").alias("movie_id"), F.col("release_year").alias("then"))
     theirs = (
@@ -32,30 +40,33 @@ def earlier_successes(
     )
     busy = theirs.groupBy("person_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("person_id")
     if busy.isEmpty():
-        return _pairs(mine, theirs).groupBy("movie_id").agg(F.count(F.lit(1)).alias(out))
-    return _with_busy_people(mine, theirs, busy, out)
+        counted = _pairs(mine, theirs).groupBy(*_FILM).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counted = _with_busy_people(mine, theirs, busy)
+    per_role = [F.coalesce(F.max(F.when(F.col("role") == r, F.col("n"))), F.lit(0)).alias(o) for o, r in outputs.items()]
+    return counted.groupBy("movie_id").agg(*per_role)
 
 
 def _pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:
     joined = mine.join(theirs, "person_id").filter(F.col("then") < F.col("year"))
-    return joined.select("movie_id", "earlier").distinct()
+    return joined.select(*_FILM, "earlier").distinct()
 
 
-def _with_busy_people(mine: DataFrame, theirs: DataFrame, busy: DataFrame, out: str) -> DataFrame:
+def _with_busy_people(mine: DataFrame, theirs: DataFrame, busy: DataFrame) -> DataFrame:
     my_busy, their_busy = mine.join(busy, "person_id", "left_semi"), theirs.join(busy, "person_id", "left_semi")
     pairs = _pairs(mine, theirs.join(busy, "person_id", "left_anti"))
 
     # Films reached through other people that a busy person of the film reaches as well.
     shared = (
-        pairs.join(my_busy.select("movie_id", "person_id"), "movie_id")
+        pairs.join(my_busy.select(*_FILM, "person_id"), _FILM)
         .join(their_busy.select("earlier", "person_id"), ["earlier", "person_id"], "left_semi")
-        .select("movie_id", "earlier")
+        .select(*_FILM, "earlier")
         .distinct()
     )
-    apart = pairs.join(shared, ["movie_id", "earlier"], "left_anti").groupBy("movie_id").agg(F.count(F.lit(1)).alias("a"))
+    apart = pairs.join(shared, [*_FILM, "earlier"], "left_anti").groupBy(*_FILM).agg(F.count(F.lit(1)).alias("a"))
 
     # Busy people only: films with the same set of them and the same year are counted as one.
-    crew = my_busy.groupBy("movie_id", "year").agg(F.array_sort(F.collect_set("person_id")).alias("crew"))
+    crew = my_busy.groupBy(*_FILM, "year").agg(F.array_sort(F.collect_set("person_id")).alias("crew"))
     their_crews = (
         their_busy.groupBy("earlier", "then")
         .agg(F.array_sort(F.collect_set("person_id")).alias("their_crew"))
@@ -79,8 +90,6 @@ def _with_busy_people(mine: DataFrame, theirs: DataFrame, busy: DataFrame, out:
     )
     before = Window.partitionBy("crew").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
     reached = per_year.withColumn("b", F.coalesce(F.sum("hits").over(before), F.lit(0)))
-    through_busy = crew.join(reached, ["crew", "year"]).select("movie_id", "b")
+    through_busy = crew.join(reached, ["crew", "year"]).select(*_FILM, "b")
     total = F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))
-    return (
-        apart.join(through_busy, "movie_id", "full").select("movie_id", total.alias(out)).filter(F.col(out) > 0)
-    )
+    return apart.join(through_busy, _FILM, "full").select(*_FILM, total.alias("n")).filter(F.col("n") > 0)

@@ -20,6 +20,7 @@ Tables = Mapping[str, DataFrame]
 _STATS = ["n_samples", "mean_score", "median_score", "stddev_score", "p90_score", "min_score", "max_score"]
 _COUNTS = ["num_genres", "num_countries", "num_languages", "num_directors", "num_writers", "num_cast"]
 _ROLE_COUNTS = {"num_directors": "director", "num_writers": "writer", "num_cast": "cast"}
+_HISTORY = {"director_prev_nominations": "director", "cast_prev_nominations": "cast"}
 
 
 def year_ranks(tables: Tables, parts: int = DEFAULT_PARTS) -> DataFrame:
@@ -62,8 +63,7 @@ def ml_training_dataset(
         links_per_film(tables["movie_countries"], "num_countries"),
         links_per_film(tables["movie_languages"], "num_languages"),
         roles_per_film(tables["movie_people"], _ROLE_COUNTS),
-        earlier_successes(movies, tables["movie_people"], "director", "director_prev_nominations", hot=hot),
-        earlier_successes(movies, tables["movie_people"], "cast", "cast_prev_nominations", hot=hot),
+        earlier_successes(movies, tables["movie_people"], _HISTORY, hot=hot),
     ]
     wide = with_year_zscores(movies).join(year_ranks(tables, parts), "imdb_id", "left")
     wide = wide.join(stats_rows.withColumnRenamed("movie_id", "imdb_id"), "imdb_id", "left")

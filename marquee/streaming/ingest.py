@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators.dedupe import last_wins, not_yet_loaded
+from marquee.session import materialise
 from marquee.sources.catalogue import read_or_empty
 
 # Classes of failure kept apart in the rejects.
@@ -49,8 +50,7 @@ def ingest_available(
             good, bad = split_outcomes(batch)
             existing = read_or_empty(spark, results, result_schema, "parquet")
             not_yet_loaded(good, existing, list(keys), list(order)).write.mode("append").parquet(results)
-            failed = bad.withColumn("batch", F.lit(batch_id).cast("long"))
-            failed.write.mode("overwrite").json(f"{rejects.rstrip('/')}/batch={batch_id}")
+            bad.write.mode("overwrite").json(f"{rejects.rstrip('/')}/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -84,7 +84,8 @@ def retry_pass(errors: DataFrame, recovered: DataFrame, outcomes: DataFrame) ->
 
 
 def rewrite_if_any(still_failing: DataFrame, path: str) -> bool:
-    if still_failing.isEmpty():
+    failing = materialise(still_failing)  # the keys may come from the very folder that is rewritten
+    if failing.isEmpty():
         return False
-    still_failing.select("id", "reason").write.mode("overwrite").json(path)
+    failing.select("id", "reason").write.mode("overwrite").json(path)
     return True
