@@ -1,6 +1,6 @@
 """Queries over the given tables, each with an equivalent SQL text where SQL can say it."""
 
-MODULES = ["features"]
+MODULES = ["features", "scores", "ingest"]
 
 
 def all_queries():

@@ -43,7 +43,12 @@ def main() -> None:
         if name not in oracles:
             print(f"rows  {name}: {len(got)} rows {t1 - t0:.1f}s", flush=True)
             continue
-        rel = con.execute(oracles[name])
+        try:
+            rel = con.execute(oracles[name])
+        except duckdb.Error as e:
+            print(f"SQL   {name}: {str(e)[:500]}", flush=True)
+            bad += 1
+            continue
         cols = [d[0] for d in rel.description]
         types = [str(d[1]) for d in rel.description]
         want = rel.fetchall()
