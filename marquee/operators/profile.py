@@ -48,9 +48,7 @@ def missing_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return found.orderBy(F.col("missing_percentage").desc(), F.col("column"))
 
 
-_DESCRIBE = T.StructType.fromDDL(
-    "column STRING, count BIGINT, mean DOUBLE, std DOUBLE, min DOUBLE, q25 DOUBLE, q50 DOUBLE, q75 DOUBLE, max DOUBLE"
-)
+_DESCRIBE = ["column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
 def describe(df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS) -> DataFrame:
@@ -73,7 +71,7 @@ def describe(df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS
         ]
     )
     rows = _long(wide, [F.col(f"s{i}") for i in range(len(columns))])
-    return rows.join(F.broadcast(quartiles), "column").select(*_DESCRIBE.names)
+    return rows.join(F.broadcast(quartiles), "column").select(*_DESCRIBE)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
