@@ -57,7 +57,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return relations.roles_per_film(film.movie_people(spark, sf), features._ROLE_COUNTS)
+    return relations.roles_per_film(film.movie_people(spark, sf), features.ROLE_COUNTS)
 
 
 @query(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.ordering import DEFAULT_PARTS, split_points, with_slot, with_running_totals
+from marquee.operators.dedupe import first_wins
+from marquee.operators.ordering import DEFAULT_PARTS, split_points, with_running_totals, with_slot
+from marquee.session import materialise
 
 
 def extend_dimension(
@@ -18,7 +20,8 @@ def extend_dimension(
 ) -> DataFrame:
     """The dimension (id, name) after all names of `mentions` were looked up or created.
 
-    Ids are dense and follow the order of first appearance. The numbering adds the size of the earlier slots of the
+    Ids are dense and follow the order of first appearance. The new names are written once before they are numbered,
+    so the mentions are read once and a lost executor cannot change an id. The numbering adds the size of the earlier slots of the
     first order column to the position within the slot, so no task numbers the whole dimension.
     """
     first = (
@@ -28,7 +31,7 @@ def extend_dimension(
     )
     if existing is not None:
         first = first.join(existing.select("name"), "name", "left_anti")
-    fresh = first.withColumn("_at", F.col(f"first.{order[0]}").cast("double")).withColumn("one", F.lit(1).cast("long"))
+    fresh = materialise(first).withColumn("_at", F.col(f"first.{order[0]}").cast("double")).withColumn("one", F.lit(1).cast("long"))
     slotted = with_slot(fresh, "_at", split_points(fresh, "_at", parts), "_slot")
     numbered = with_running_totals(
         slotted, {"earlier": "one"}, [F.col("first"), F.col("name")], bounded_slots=True
@@ -42,8 +45,6 @@ def extend_dimension(
 
 def link(mentions: DataFrame, dimension: DataFrame, id_column: str, order: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Bridge rows (film, id, ...) for the mentions, first mention per key."""
-    from marquee.operators.dedupe import first_wins
-
     ids = dimension.select(F.col("id").alias(id_column), "name")
     linked = mentions.join(ids, "name").select("movie_id", id_column, *extra, *order)
     keys = ["movie_id", id_column] + [c for c in extra if c == "role"]

@@ -28,23 +28,42 @@ def earlier_successes(
     would give a pair for every two of their films, so those people are counted through cumulative counts per
     combination of such people and year, and never paired film by film.
     """
+    summed = success_counts(films, involved, outputs, success, hot).groupBy("movie_id")
+    return summed.agg(*[F.coalesce(F.sum(o), F.lit(0)).alias(o) for o in outputs])
+
+
+def success_counts(
+    films: DataFrame,
+    involved: DataFrame,
+    outputs: Mapping[str, str],
+    success: str = "nominated_oscar",
+    hot: int = HOT_PERSON,
+) -> DataFrame:
+    """The same as partial counts, to be summed by film."""
     years = films.select(F.col("imdb_id").alias("movie_id"), F.col("release_year").alias("year"))
-    people = involved.filter(F.col("role").isin(list(outputs.values()))).select("role", "movie_id", "person_id").distinct()
+    people = involved.filter(F.col("role").isin(list(outputs.values()))).select("role", "movie_id", "person_id")
     mine = people.join(years, "movie_id")
     good = films.filter(F.col(success)).select(F.col("imdb_id").alias("movie_id"), F.col("release_year").alias("then"))
     theirs = (
         involved.select("movie_id", "person_id")
-        .distinct()
         .join(good, "movie_id")
         .select(F.col("movie_id").alias("earlier"), "person_id", "then")
     )
-    busy = theirs.groupBy("person_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("person_id")
-    if busy.isEmpty():
-        counted = _pairs(mine, theirs).groupBy(*_FILM).agg(F.count(F.lit(1)).alias("n"))
+    if _more_than(involved, hot).isEmpty():  # cheap: nobody has that many films of any kind
+        busy = None
+    else:
+        busy = _more_than(theirs, hot)
+    if busy is None or busy.isEmpty():
+        counted = _pairs(mine, theirs).withColumn("n", F.lit(1).cast("long"))
     else:
         counted = _with_busy_people(mine, theirs, busy)
-    per_role = [F.coalesce(F.max(F.when(F.col("role") == r, F.col("n"))), F.lit(0)).alias(o) for o, r in outputs.items()]
-    return counted.groupBy("movie_id").agg(*per_role)
+    per_role = [F.when(F.col("role") == r, F.col("n")).alias(o) for o, r in outputs.items()]
+    return counted.select("movie_id", *per_role)
+
+
+def _more_than(bridge: DataFrame, limit: int) -> DataFrame:
+    counted = bridge.groupBy("person_id").agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col("n") > limit).select("person_id")
 
 
 def _pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:

@@ -29,26 +29,40 @@ FEATURE_COLUMNS = [
     "entropy_gyr_bits",
 ]
 MAD_SCALE = 1.4826
+LONG_LIST = 1_000
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def rating_stats(movies: DataFrame, samples: DataFrame) -> DataFrame:
-    """One row per film, also for films without samples. Scores are whole numbers from 0 to 100, so the exact
-    percentile keeps at most 101 counts per film and is combined before the shuffle."""
+    """One row per film, also for films without samples."""
+    return (
+        movies.select(F.col("imdb_id").alias("movie_id"))
+        .join(sample_stats(samples), "movie_id", "left")
+        .withColumn("n_samples", F.coalesce("n_samples", F.lit(0).cast("long")))
+    )
+
+
+def sample_stats(samples: DataFrame) -> DataFrame:
+    """Statistics of the films with samples. Scores are whole numbers from 0 to 100, so the exact percentile keeps at
+    most 101 counts per film and is combined before the shuffle."""
     score = F.col("score_value")
     per_film = samples.groupBy("movie_id").agg(
         F.count(score).alias("n_samples"),
         F.avg(score).alias("mean_score"),
-        F.percentile(score, F.lit(0.5)).alias("median_score"),
+        F.percentile(score, F.array(F.lit(0.5), F.lit(0.9))).alias("_cuts"),
         F.stddev_pop(score).alias("stddev_score"),
-        F.percentile(score, F.lit(0.9)).alias("p90_score"),
         F.min(score).alias("min_score"),
         F.max(score).alias("max_score"),
     )
-    return (
-        movies.select(F.col("imdb_id").alias("movie_id"))
-        .join(per_film, "movie_id", "left")
-        .withColumn("n_samples", F.coalesce("n_samples", F.lit(0).cast("long")))
+    return per_film.select(
+        "movie_id",
+        "n_samples",
+        "mean_score",
+        F.col("_cuts")[0].alias("median_score"),
+        "stddev_score",
+        F.col("_cuts")[1].alias("p90_score"),
+        "min_score",
+        "max_score",
     )
 
 
@@ -58,19 +72,29 @@ def check_cut(share: float) -> float:
     return share
 
 
-def score_features(samples: DataFrame, film: str = "film", score: str = "score", cuts=(0.10, 0.20)) -> DataFrame:
+def score_features(
+    samples: DataFrame, film: str = "film", score: str = "score", cuts=(0.10, 0.20), long_list: int = LONG_LIST
+) -> DataFrame:
     """The full feature row of each film.
 
-    Integer scores give at most 101 distinct values per film: the counts per value fit an array and one pass over
-    it yields everything. Scores with fractions may have any number of distinct values, so they are kept as rows.
+    Scores are first counted per film and value. Up to `long_list` distinct values fit an array, and one pass over it
+    yields everything; whole-number scores never have more than 101. A film with more distinct values, which needs
+    scores with fractions, is kept as rows and cut into slots of the score range.
     """
     for share in cuts:
         check_cut(share)
     integral = isinstance(samples.schema[score].dataType, _INTEGRAL)
     cleaned = samples.select(F.col(film).alias("film"), stats.clean_score(F.col(score)).alias("v"))
     counted = cleaned.groupBy("film", "v").agg(F.count("v").alias("n"))
-    wide = _from_arrays(counted, cuts) if integral else _from_rows(counted, cuts)
-    return wide.select(*FEATURE_COLUMNS)
+    if integral:
+        return _from_arrays(counted, cuts).select(*FEATURE_COLUMNS)
+    sizes = counted.groupBy("film").agg(F.count("v").alias("values"))
+    long_films = sizes.filter(F.col("values") > long_list).select("film")
+    if long_films.isEmpty():
+        return _from_arrays(counted, cuts).select(*FEATURE_COLUMNS)
+    short = counted.join(long_films, "film", "left_anti")
+    rows = counted.join(long_films, "film", "left_semi")
+    return _from_arrays(short, cuts).select(*FEATURE_COLUMNS).unionByName(_from_rows(rows, cuts).select(*FEATURE_COLUMNS))
 
 
 def order_features(features: DataFrame) -> DataFrame:
@@ -93,7 +117,7 @@ def _with_entropy(df: DataFrame) -> DataFrame:
     return df.withColumn("entropy_gyr_bits", stats.entropy_bits(shares))
 
 
-# --- whole-number scores: an array of (value, count) per film -------------------------------------------------
+# --- an array of (value, count) per film ----------------------------------------------------------------------
 
 
 def _sum_over(h: Column, term) -> Column:
@@ -176,7 +200,7 @@ def _from_arrays(counted: DataFrame, cuts) -> DataFrame:
     )
 
 
-# --- scores with fractions: one row per (film, value) ---------------------------------------------------------
+# --- long lists of fractional scores: one row per (film, value) ------------------------------------------------
 
 
 def _ranked(counted: DataFrame) -> DataFrame:

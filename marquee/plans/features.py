@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.stats import zscore
-from marquee.operators.history import HOT_PERSON, earlier_successes
+from marquee.operators.history import HOT_PERSON, success_counts
 from marquee.operators.ordering import DEFAULT_PARTS, rank_in_group
-from marquee.operators.relations import genre_summary, links_per_film, roles_per_film
-from marquee.operators.scores import rating_stats
+from marquee.operators.scores import rating_stats, sample_stats
 from marquee.operators.sizing import broadcast_if_small
 from marquee.schemas import GENRE_FLAGS, SPLITS
 
@@ -19,7 +19,7 @@ Tables = Mapping[str, DataFrame]
 
 _STATS = ["n_samples", "mean_score", "median_score", "stddev_score", "p90_score", "min_score", "max_score"]
 _COUNTS = ["num_genres", "num_countries", "num_languages", "num_directors", "num_writers", "num_cast"]
-_ROLE_COUNTS = {"num_directors": "director", "num_writers": "writer", "num_cast": "cast"}
+ROLE_COUNTS = {"num_directors": "director", "num_writers": "writer", "num_cast": "cast"}
 _HISTORY = {"director_prev_nominations": "director", "cast_prev_nominations": "cast"}
 
 
@@ -49,26 +49,47 @@ def with_year_zscores(movies: DataFrame) -> DataFrame:
     )
 
 
+def relation_counts(tables: Tables, flags: Mapping[str, str] = GENRE_FLAGS) -> list[DataFrame]:
+    """Per bridge, partial counts by film; still to be summed by film."""
+    genres, people = tables["genres"], tables["movie_people"]
+    named = genres.filter(F.col("name").isin(list(flags.values()))).select(F.col("id").alias("genre_id"), "name")
+    one = F.lit(1).cast("long")
+    is_role = lambda r: (F.col("role") == r).cast("long")
+    return [
+        # genre names are unique, so at most one row per flag is broadcast
+        tables["movie_genres"]
+        .join(F.broadcast(named), "genre_id", "left")
+        .select("movie_id", one.alias("num_genres"), *[(F.col("name") == g).cast("int").alias(f) for f, g in flags.items()]),
+        tables["movie_countries"].select("movie_id", one.alias("num_countries")),
+        tables["movie_languages"].select("movie_id", one.alias("num_languages")),
+        people.select("movie_id", *[is_role(r).alias(o) for o, r in ROLE_COUNTS.items()]),
+    ]
+
+
 def ml_training_dataset(
     tables: Tables,
     flags: Mapping[str, str] = GENRE_FLAGS,
     parts: int = DEFAULT_PARTS,
     hot: int = HOT_PERSON,
 ) -> DataFrame:
-    """One row per film with 29 columns. Every bridge is read and aggregated once, all by film id."""
+    """One row per film with 29 columns.
+
+    Everything counted per film (relations, flags, history, rank) is put in one long frame and combined in one
+    aggregate: one shuffle by film with partial sums before it, instead of a join per bridge.
+    """
     movies = tables["movies"]
-    stats_rows = rating_stats(movies, tables["rating_samples"])
-    parts_by_film = [
-        genre_summary(tables["movie_genres"], tables["genres"], flags),
-        links_per_film(tables["movie_countries"], "num_countries"),
-        links_per_film(tables["movie_languages"], "num_languages"),
-        roles_per_film(tables["movie_people"], _ROLE_COUNTS),
-        earlier_successes(movies, tables["movie_people"], _HISTORY, hot=hot),
+    pieces = [
+        *relation_counts(tables, flags),
+        success_counts(movies, tables["movie_people"], _HISTORY, hot=hot),
+        year_ranks(tables, parts).withColumnRenamed("imdb_id", "movie_id"),
     ]
-    wide = with_year_zscores(movies).join(year_ranks(tables, parts), "imdb_id", "left")
-    wide = wide.join(stats_rows.withColumnRenamed("movie_id", "imdb_id"), "imdb_id", "left")
-    for part in parts_by_film:
-        wide = wide.join(part.withColumnRenamed("movie_id", "imdb_id"), "imdb_id", "left")
+    long = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
+    per_film = long.groupBy(F.col("movie_id").alias("imdb_id")).agg(
+        *[F.sum(c).alias(c) for c in [*_COUNTS, *_HISTORY]],
+        *[F.max(c).alias(c) for c in [*flags, "box_office_rank_in_year"]],
+    )
+    samples = sample_stats(tables["rating_samples"]).withColumnRenamed("movie_id", "imdb_id")
+    wide = with_year_zscores(movies).join(per_film, "imdb_id", "left").join(samples, "imdb_id", "left")
     or_zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return wide.select(
         "imdb_id",
@@ -83,8 +104,7 @@ def ml_training_dataset(
         "rating_normalized_by_year",
         *[or_zero(c) for c in _STATS],
         *[or_zero(c) for c in _COUNTS],
-        or_zero("director_prev_nominations"),
-        or_zero("cast_prev_nominations"),
+        *[or_zero(c) for c in _HISTORY],
         *[or_zero(c) for c in flags],
         F.col("nominated_oscar").cast("int").alias("label"),
     )

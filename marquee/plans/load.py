@@ -12,6 +12,7 @@ from marquee.functions import text
 from marquee.operators.dedupe import first_wins, not_yet_loaded
 from marquee.operators.dimensions import extend_dimension, link
 from marquee.operators.relations import only_keys, orphans, without_keys
+from marquee.session import materialise
 
 _ORDER = ["ordinal", "block", "position"]
 _LISTS = {
@@ -101,7 +102,8 @@ def build_tables(
     are there already stay as they are and only additions are returned; dimensions are returned in full.
     """
     old = existing or {}
-    rows, skipped = skip_errors(raw, error_ids)
+    kept, skipped = skip_errors(raw, error_ids)
+    rows = materialise(kept)  # read by every table below
     add = lambda df, name, keys, order: not_yet_loaded(df, old.get(name), keys, order).drop(*order)
     tables = {
         "movies": add(typed_movies(rows), "movies", ["imdb_id"], ["ordinal"]),
