@@ -21,7 +21,7 @@ def split_points(df: DataFrame, column: str, parts: int = DEFAULT_PARTS) -> list
     """At most `parts` + 1 distinct values of the column that cut it into even shares."""
     shares = [i / parts for i in range(parts + 1)]
     found = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", shares, 0.25 / parts)
-    return sorted(set(found))
+    return sorted({p + 0.0 for p in found})  # no negative zero
 
 
 def with_slot(df: DataFrame, column: str, points: Sequence[float], slot: str, descending: bool = False) -> DataFrame:
@@ -33,7 +33,8 @@ def with_slot(df: DataFrame, column: str, points: Sequence[float], slot: str, de
     step = Bucketizer(
         splits=[float("-inf"), *points, float("inf")], inputCol="_slot_x", outputCol="_slot_b", handleInvalid="keep"
     )
-    cut = step.transform(df.withColumn("_slot_x", F.coalesce(x, F.lit(0.0))))
+    # the bucket search tells -0.0 from 0.0, SQL does not
+    cut = step.transform(df.withColumn("_slot_x", F.when(x.isNull() | (x == 0), F.lit(0.0)).otherwise(x)))
     position = F.col("_slot_b").cast("int")
     values = F.array(*[F.lit(p) for p in points])
     on_point = (position >= 1) & (F.get(values, position - 1) == F.col("_slot_x"))

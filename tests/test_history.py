@@ -1,0 +1,64 @@
+import random
+
+import pytest
+
+from marquee.operators.history import earlier_successes
+
+OUT = {"d": "director", "c": "cast"}
+
+
+def brute(films, involved):
+    year, good = {f: y for f, y, _ in films}, {f for f, _, g in films if g}
+    out = {}
+    for f, y, _ in films:
+        for o, role in OUT.items():
+            mine = {p for m, p, r in involved if m == f and r == role}
+            n = len({m for m, p, _ in involved if p in mine and m in good and year[m] < y})
+            if n:
+                out.setdefault(f, {"d": 0, "c": 0})[o] = n
+    return out
+
+
+def run(spark, films, involved, hot):
+    f = spark.createDataFrame(films, "imdb_id STRING, release_year INT, nominated_oscar BOOLEAN")
+    i = spark.createDataFrame(involved, "movie_id STRING, person_id BIGINT, role STRING")
+    got = earlier_successes(f, i, OUT, hot=hot).collect()
+    return {r["movie_id"]: {"d": r["d"], "c": r["c"]} for r in got if r["d"] or r["c"]}
+
+
+@pytest.mark.parametrize("hot", [0, 2, 10, 5000])
+def test_against_brute_force(spark, hot):
+    rng = random.Random(hot)
+    films = [(f"m{i}", rng.randint(2000, 2010), rng.random() < 0.4) for i in range(150)]
+    involved = set()
+    for f, _, _ in films:
+        for _ in range(rng.randint(1, 5)):
+            person = 0 if rng.random() < 0.35 else rng.randint(1, 40)  # one person holds a third of the rows
+            involved.add((f, person, rng.choice(["director", "writer", "cast"])))
+    involved = sorted(involved)
+    assert run(spark, films, involved, hot) == brute(films, involved)
+
+
+def test_edges(spark):
+    films = [
+        ("now", 2010, False),
+        ("same_year", 2010, True),
+        ("later", 2011, True),
+        ("earlier_loser", 2005, False),
+        ("earlier_writer", 2006, True),
+        ("shared", 2007, True),
+    ]
+    involved = [
+        ("now", 1, "director"),
+        ("now", 2, "director"),
+        ("same_year", 1, "director"),
+        ("later", 1, "director"),
+        ("earlier_loser", 1, "director"),
+        ("earlier_writer", 1, "writer"),
+        ("shared", 1, "cast"),
+        ("shared", 2, "director"),
+    ]
+    for hot in (0, 1, 100):
+        got = run(spark, films, involved, hot)
+        assert got["now"] == {"d": 2, "c": 0}
+        assert got == brute(films, involved)
