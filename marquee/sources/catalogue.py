@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from marquee.functions.text import na_to_null
 from marquee.operators.quality import ExpectationFailed, missing_columns
 from marquee.schemas import CATALOGUE_COLUMNS
 
+_SLASHES = re.compile("^([A-Za-z0-9]+):/+")  # the same file may be named with one slash or three
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a task in its low bits
 
 
@@ -31,16 +33,17 @@ def read_catalogue(spark: SparkSession, path: str, required: Sequence[str] = CAT
     lost = missing_columns(raw, required)
     if lost:
         raise ExpectationFailed(f"columns missing from {path}: {lost}")
-    files = sorted(raw.inputFiles())
+    files = sorted(_SLASHES.sub(r"\1:/", f) for f in raw.inputFiles())
     numbers = spark.createDataFrame(list(zip(files, range(len(files)))), "_file STRING, _number BIGINT")
     placed = raw.select(
         *[na_to_null(F.col(f"`{c}`")).alias(c) for c in required],
-        F.col("_metadata.file_path").alias("_file"),
+        F.regexp_replace("_metadata.file_path", _SLASHES.pattern, "$1:/").alias("_file"),
         F.monotonically_increasing_id().alias("_row"),
     )
     in_file = F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1)
-    ordinal = F.shiftleft("_number", _ROW_BITS) + in_file
-    return placed.join(F.broadcast(numbers), "_file").select(*required, ordinal.alias("ordinal"))
+    number = F.coalesce("_number", F.raise_error(F.concat(F.lit("file without a number: "), "_file")).cast("bigint"))
+    ordinal = F.shiftleft(number, _ROW_BITS) + in_file
+    return placed.join(F.broadcast(numbers), "_file", "left").select(*required, ordinal.alias("ordinal"))
 
 
 def _whole_object(spark: SparkSession, path: str, value_type: str) -> DataFrame:

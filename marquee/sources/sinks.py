@@ -22,14 +22,19 @@ def export_to_csv(df: DataFrame, name: str, folder: str = "data/processed") -> s
     path = f"{folder.rstrip('/')}/{name}"
     if folder.rstrip("/").endswith(RAW_ZONE):
         warnings.warn("exporting into the raw zone is discouraged; query the tables instead", UserWarning, stacklevel=2)
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    _csv(df, path)
     return path
 
 
+def _csv(df: DataFrame, path: str) -> None:
+    writer = df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 def write_catalogue(catalogue: DataFrame, path: str) -> None:
     """The consolidated catalogue with its fixed columns in order."""
     rows = catalogue.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in CATALOGUE_COLUMNS])
-    rows.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    _csv(rows, path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
