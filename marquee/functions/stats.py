@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def display_round(c: Column, digits: int = 3) -> Column:
+    """Half to even, as numeric frames are shown."""
+    return F.bround(c, digits)
+
+
 def ratio(part: Column, whole: Column, scale: float = 1.0) -> Column:
     """Null when the whole is zero or missing."""
     return F.when(whole != 0, F.lit(scale) * part / whole)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.dedupe import first_wins
-from marquee.operators.ordering import DEFAULT_PARTS, split_points, with_running_totals, with_slot
+from marquee.operators.ordering import split_points, with_running_totals, with_slot
 from marquee.session import materialise
 
 
@@ -16,7 +16,7 @@ def extend_dimension(
     mentions: DataFrame,
     existing: DataFrame | None = None,
     order: Sequence[str] = ("ordinal",),
-    parts: int = DEFAULT_PARTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """The dimension (id, name) after all names of `mentions` were looked up or created.
 

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.stats import ratio
-from marquee.operators.ordering import DEFAULT_PARTS, split_points, with_running_totals, with_slot
+from marquee.operators.ordering import split_points, with_running_totals, with_slot
 
 
-def _score_groups(scored: DataFrame, score: str, label: str, parts: int) -> DataFrame:
+def _score_groups(scored: DataFrame, score: str, label: str, parts: int | None) -> DataFrame:
     """Positives and negatives per distinct score, and how many rank above it.
 
     Equal scores are one row before anything is sorted; the sort is cut into slots of the score.
@@ -28,7 +28,7 @@ def _class_totals(scored: DataFrame, label: str) -> tuple[int, int]:
     return positives, row["n"] - positives
 
 
-def precision_recall_curve(scored: DataFrame, score: str, label: str = "label", parts: int = DEFAULT_PARTS) -> DataFrame:
+def precision_recall_curve(scored: DataFrame, score: str, label: str = "label", parts: int | None = None) -> DataFrame:
     """One point per distinct score, taken as `score >= threshold`, and the end point (precision 1, recall 0)."""
     positives, _ = _class_totals(scored, label)
     tp, fp = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
@@ -55,7 +55,7 @@ def best_threshold(curve: DataFrame, target: float = 0.90, mode: str = "at_most"
     return curve.agg(pick.alias("threshold"))
 
 
-def roc_auc(scored: DataFrame, score: str, label: str = "label", parts: int = DEFAULT_PARTS) -> DataFrame:
+def roc_auc(scored: DataFrame, score: str, label: str = "label", parts: int | None = None) -> DataFrame:
     """Area under the ROC curve, ties counted half; null when one class is absent."""
     positives, negatives = _class_totals(scored, label)
     wins = F.sum(F.col("neg").cast("double") * (F.col("pos_above") + F.col("pos") / 2))

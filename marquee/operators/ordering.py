@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from marquee.operators.sizing import broadcast_if_small
 
-DEFAULT_PARTS = 64
+MIN_PARTS, MAX_PARTS = 16, 2_000
 
 
-def split_points(df: DataFrame, column: str, parts: int = DEFAULT_PARTS) -> list[float]:
-    """At most `parts` + 1 distinct values of the column that cut it into even shares."""
+def split_points(df: DataFrame, column: str, parts: int | None = None) -> list[float]:
+    """At most `parts` + 1 distinct values of the column that cut it into even shares.
+
+    By default there are as many parts as shuffle partitions, so the slots shrink with the size of the cluster.
+    """
+    if parts is None:
+        parts = min(MAX_PARTS, max(MIN_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [i / parts for i in range(parts + 1)]
     found = df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", shares, 0.25 / parts)
     return sorted({p + 0.0 for p in found})  # no negative zero
@@ -51,7 +56,7 @@ def rank_in_group(
     key: str,
     out: str,
     descending: bool = True,
-    parts: int = DEFAULT_PARTS,
+    parts: int | None = None,
     salts: int = 32,
 ) -> DataFrame:
     """SQL RANK with nulls last, where groups and ties may be large.

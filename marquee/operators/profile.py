@@ -171,6 +171,11 @@ def collection_summary(catalogue: DataFrame, errors: DataFrame) -> DataFrame:
     return main.select("*", one).join(failed.select("*", one), "_one").drop("_one")
 
 
+def first_errors(rejects: DataFrame, order: str = "id", n: int = 10) -> DataFrame:
+    """The first errors for a report."""
+    return rejects.orderBy(F.col(order).asc_nulls_last()).limit(n)
+
+
 def run_tally(log: DataFrame, ok: str = "ok", seconds: float | None = None) -> DataFrame:
     """Processed, successful and failed keys of an ingest log, with the success rate in percent."""
     total, good = F.count(F.lit(1)), F.count_if(F.col("status") == ok)

@@ -21,12 +21,9 @@ def roles_per_film(movie_people: DataFrame, names: Mapping[str, str]) -> DataFra
 
 
 def genre_summary(movie_genres: DataFrame, genres: DataFrame, flags: Mapping[str, str]) -> DataFrame:
-    """Number of genres and one 0/1 flag per named genre, in one pass over the bridge.
-
-    Genre names are unique, so the filtered dimension has at most one row per flag.
-    """
+    """Number of genres and one 0/1 flag per named genre, in one pass over the bridge."""
     named = genres.filter(F.col("name").isin(list(flags.values()))).select(F.col("id").alias("genre_id"), "name")
-    joined = movie_genres.join(F.broadcast(named), "genre_id", "left")
+    joined = movie_genres.join(named, "genre_id", "left")
     has = lambda g: F.coalesce(F.max(F.when(F.col("name") == g, 1)), F.lit(0))
     return joined.groupBy("movie_id").agg(
         F.count(F.lit(1)).alias("num_genres"), *[has(g).alias(o) for o, g in flags.items()]

@@ -97,6 +97,12 @@ def score_features(
     return _from_arrays(short, cuts).select(*FEATURE_COLUMNS).unionByName(_from_rows(rows, cuts).select(*FEATURE_COLUMNS))
 
 
+def features_from_lists(lists: DataFrame, film: str = "film", scores: str = "scores") -> DataFrame:
+    """The same from one array of scores per film; a film with an empty list has a row with zero reviews."""
+    rows = lists.select(F.col(film).alias("film"), F.explode_outer(scores).alias("score"))
+    return score_features(rows)
+
+
 def order_features(features: DataFrame) -> DataFrame:
     keys = ("p_ge_90", "median", "n_reviews")
     return features.orderBy(*[F.col(k).desc_nulls_last() for k in keys], F.col("film").asc_nulls_last())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.stats import zscore
 from marquee.operators.history import HOT_PERSON, success_counts
-from marquee.operators.ordering import DEFAULT_PARTS, rank_in_group
+from marquee.operators.ordering import rank_in_group
 from marquee.operators.scores import rating_stats, sample_stats
 from marquee.operators.sizing import broadcast_if_small
 from marquee.schemas import GENRE_FLAGS, SPLITS
@@ -23,7 +23,7 @@ ROLE_COUNTS = {"num_directors": "director", "num_writers": "writer", "num_cast":
 _HISTORY = {"director_prev_nominations": "director", "cast_prev_nominations": "cast"}
 
 
-def year_ranks(tables: Tables, parts: int = DEFAULT_PARTS) -> DataFrame:
+def year_ranks(tables: Tables, parts: int | None = None) -> DataFrame:
     """imdb_id and its box office rank within the year; unknown grosses share the last rank."""
     gross = tables["movie_box_office"].select(F.col("movie_id").alias("imdb_id"), "worldwide_gross")
     films = tables["movies"].select("imdb_id", "release_year").join(gross, "imdb_id", "left")
@@ -56,9 +56,8 @@ def relation_counts(tables: Tables, flags: Mapping[str, str] = GENRE_FLAGS) -> l
     one = F.lit(1).cast("long")
     is_role = lambda r: (F.col("role") == r).cast("long")
     return [
-        # genre names are unique, so at most one row per flag is broadcast
         tables["movie_genres"]
-        .join(F.broadcast(named), "genre_id", "left")
+        .join(named, "genre_id", "left")
         .select("movie_id", one.alias("num_genres"), *[(F.col("name") == g).cast("int").alias(f) for f, g in flags.items()]),
         tables["movie_countries"].select("movie_id", one.alias("num_countries")),
         tables["movie_languages"].select("movie_id", one.alias("num_languages")),
@@ -69,7 +68,7 @@ def relation_counts(tables: Tables, flags: Mapping[str, str] = GENRE_FLAGS) -> l
 def ml_training_dataset(
     tables: Tables,
     flags: Mapping[str, str] = GENRE_FLAGS,
-    parts: int = DEFAULT_PARTS,
+    parts: int | None = None,
     hot: int = HOT_PERSON,
 ) -> DataFrame:
     """One row per film with 29 columns.

@@ -15,7 +15,7 @@ from marquee.functions.stats import at_least
 from marquee.operators import metrics
 from marquee.operators.quantiles import SMALL_ROWS, exact_quantiles
 from marquee.schemas import FINAL_FEATURES
-from marquee.session import materialise
+from marquee.session import ensure_checkpoint_dir, materialise
 
 SEED = 42
 
@@ -106,7 +106,11 @@ def boosted(rounds: int = 1000, depth: int = 6, rate: float = 0.03) -> GBTClassi
 
 
 # Rounds, depth and rate of the three boosted models.
-BOOSTED = {"boosted_small": (200, 4, 0.05), "boosted_medium": (500, 6, 0.05), "boosted_final": (1000, 6, 0.03)}
+BOOSTED = {"small": (200, 4, 0.05), "medium": (500, 6, 0.05), "final": (1000, 6, 0.03)}
+
+
+def boosted_model(name: str) -> GBTClassifier:
+    return boosted(*BOOSTED[name])
 
 
 @dataclass(frozen=True)
@@ -136,9 +140,11 @@ def fit(
     weights: Callable[[DataFrame], DataFrame] = balanced_weights,
     approximate: bool = False,
 ) -> Fitted:
-    """Fit the preprocessing and the classifier. The prepared rows are written once, as training reads them often."""
+    """Fit the preprocessing and the classifier. The training columns are written once, as they are read often."""
+    ensure_checkpoint_dir(train.sparkSession)
+    train = materialise(train.select(*columns, "label"))
     prepared = Preprocessor.fit(train, columns, approximate=approximate)
-    rows = materialise(weights(prepared.transform(train)).select("features", "label", "weight"))
+    rows = weights(prepared.transform(train)).select("features", "label", "weight")
     if make == "logistic":
         total = rows.agg(F.sum("weight").alias("w")).first()["w"]
         estimator = logistic(total)

@@ -43,6 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Iterative training cuts its lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: the lineage ends there and survives the loss of executors."""
     spark = df.sparkSession

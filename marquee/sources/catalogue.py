@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from marquee.functions.text import na_to_null
 from marquee.operators.quality import ExpectationFailed, missing_columns
+from marquee.operators.sizing import MAX_BROADCAST_ROWS
 from marquee.schemas import CATALOGUE_COLUMNS
 
 _SLASHES = re.compile("^([A-Za-z0-9]+):/+")  # the same file may be named with one slash or three
@@ -43,7 +44,9 @@ def read_catalogue(spark: SparkSession, path: str, required: Sequence[str] = CAT
     in_file = F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1)
     number = F.coalesce("_number", F.raise_error(F.concat(F.lit("file without a number: "), "_file")).cast("bigint"))
     ordinal = F.shiftleft(number, _ROW_BITS) + in_file
-    return placed.join(F.broadcast(numbers), "_file", "left").select(*required, ordinal.alias("ordinal"))
+    if len(files) <= MAX_BROADCAST_ROWS:
+        numbers = F.broadcast(numbers)
+    return placed.join(numbers, "_file", "left").select(*required, ordinal.alias("ordinal"))
 
 
 def _whole_object(spark: SparkSession, path: str, value_type: str) -> DataFrame:

@@ -27,6 +27,12 @@ def error_class(error):
     return F.when(kind.isin(REASONS), kind).otherwise(F.lit(OTHER))
 
 
+def named_results(results: DataFrame, order: str = "completed") -> DataFrame:
+    """Results keyed by name: blank names are left out, and the one completed last stays."""
+    named = results.filter(F.col("name").isNotNull() & (F.col("name") != ""))
+    return last_wins(named, ["name"], [order])
+
+
 def split_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Results, and failures as (id, reason, attempt)."""
     good = outcomes.filter(F.col("error").isNull()).drop("error")

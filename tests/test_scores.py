@@ -109,3 +109,47 @@ def test_rating_stats_keeps_films_without_samples(spark):
     assert got["a"]["median_score"] == 20 and got["a"]["p90_score"] == pytest.approx(36)
     assert got["a"]["stddev_score"] == pytest.approx(np.std([10, 20, 40]))
     assert got["b"]["n_samples"] == 0 and got["b"]["mean_score"] is None
+
+
+def test_list_functions_match_formulas(spark):
+    from pyspark.sql import functions as F
+
+    from marquee.functions import score_lists as sl
+    from marquee.functions.stats import entropy_bits
+
+    cases = {k: [None if v is None else float(v) for v in vs] for k, vs in edge_cases(False).items()}
+    x = F.col("x")
+    green, yellow, red = sl.colour_shares(x)
+    columns = {
+        "n_reviews": F.size(x),
+        "mean": sl.mean(x),
+        "median": sl.quantile(x, 0.5),
+        "trimmed_mean_10": sl.trimmed_mean(x, 0.1),
+        "trimmed_mean_20": sl.trimmed_mean(x, 0.2),
+        "iqr": sl.iqr(x),
+        "mad": sl.mad(x),
+        "skewness": sl.skewness(x),
+        "excess_kurtosis": sl.excess_kurtosis(x),
+        **sl.proportions_above(x),
+        "p_green_61_100": green,
+        "p_yellow_40_60": yellow,
+        "p_red_0_39": red,
+        "entropy_gyr_bits": entropy_bits([green, yellow, red]),
+    }
+    df = spark.createDataFrame(list(cases.items()), "film STRING, scores ARRAY<DOUBLE>").select("film", sl.clean(F.col("scores")).alias("x"))
+    rows = df.select("film", *[c.alias(n) for n, c in columns.items()]).collect()
+    for row in rows:
+        want = expected(cases[row["film"]])
+        for name in columns:
+            if want[name] is None:
+                assert row[name] is None, (row["film"], name)
+            else:
+                assert row[name] == pytest.approx(want[name], abs=1e-9), (row["film"], name)
+
+
+def test_map_of_lists(spark):
+    from marquee.operators.scores import features_from_lists
+
+    lists = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [])], "film STRING, scores ARRAY<DOUBLE>")
+    got = {r["film"]: r["n_reviews"] for r in features_from_lists(lists).collect()}
+    assert got == {"a": 2, "b": 0}
