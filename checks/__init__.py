@@ -1,6 +1,6 @@
 """Queries over the given tables, each with an equivalent SQL text where SQL can say it."""
 
-MODULES = ["features", "scores", "ingest", "profile", "metrics", "models"]
+MODULES = ["features", "scores", "ingest", "profile", "metrics", "planned", "models"]
 
 
 def all_queries():
