@@ -8,10 +8,10 @@ from checks import film
 from checks.film import film_sql
 from checks.registry import query, rounded, table
 from marquee.functions import text
-from marquee.operators import quality, relations
+from marquee.operators import profile, quality, relations
 from marquee.operators.dedupe import first_wins, last_wins, merge_objects, not_yet_loaded
 from marquee.operators.dimensions import extend_dimension
-from marquee.plans import collect, load
+from marquee.plans import collect, features, load
 from marquee.session import scratch_path
 from marquee.sources import pages as page_source
 from marquee.sources import payloads, tables, titles
@@ -588,3 +588,39 @@ def _(spark, sf):
     keys = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"))
     done = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").cast("string").alias("id"))
     return ingest.pending(keys, done)
+
+
+@query(
+    "named_results",
+    """SELECT event_type AS name, arg_max(value, event_id) AS value FROM events WHERE event_type <> 'view' GROUP BY event_type""",
+)
+def _(spark, sf):
+    name = F.when(F.col("event_type") != "view", F.col("event_type")).otherwise("")
+    results = table(spark, sf, "events").select(name.alias("name"), "value", F.col("event_id").alias("completed"))
+    return ingest.named_results(results).select("name", "value")
+
+
+@query("first_errors", "SELECT event_id AS id, props AS reason FROM events WHERE event_type = 'error' ORDER BY event_id LIMIT 10")
+def _(spark, sf):
+    errors = table(spark, sf, "events").filter(F.col("event_type") == "error")
+    return profile.first_errors(errors.select(F.col("event_id").alias("id"), F.col("props").alias("reason")))
+
+
+@query(
+    "genres_loader",
+    film_sql("SELECT movie_id, name AS genre_name, genre_id FROM movie_genres JOIN genres ON id = genre_id"),
+)
+def _(spark, sf):
+    frames = {"genres": film.part_dimension(spark, sf, "p_type"), "movie_genres": film.part_bridge(spark, sf, "p_type", "genre_id")}
+    return tables.load_genres_data(frames)[1]
+
+
+@query(
+    "sql_views",
+    film_sql("SELECT label, count(*) AS n, CAST(sum(num_cast) AS BIGINT) AS num_cast FROM ml_training_dataset WHERE release_year BETWEEN 1995 AND 1999 GROUP BY label"),
+)
+def _(spark, sf):
+    """The SQL surface: views over the tables, the feature table and its splits."""
+    splits = {f"ml_split_{k}": v for k, v in film.SPLITS.items()}
+    features.register_views(spark, film.tables(spark, sf), splits, flags=film.FLAGS)
+    return tables.run_custom_query(spark, "SELECT label, count(*) AS n, sum(num_cast) AS num_cast FROM ml_split_train GROUP BY label")

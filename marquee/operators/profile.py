@@ -156,19 +156,28 @@ def corpus_summary(movies: DataFrame) -> DataFrame:
 
 
 def collection_summary(catalogue: DataFrame, errors: DataFrame) -> DataFrame:
-    """Totals of an assembled catalogue. A missing rating or vote count adds zero, and the mean of votes is whole."""
-    total = F.count(F.lit(1))
-    main = catalogue.agg(
-        total.alias("films"),
+    """Totals of an assembled catalogue. A missing rating or vote count adds zero, and the mean of votes is whole.
+
+    Catalogue rows and errors are stacked and counted in one aggregate.
+    """
+    rows = catalogue.select(
+        "nominated",
+        "winner",
+        F.coalesce(F.col("rating").cast("double"), F.lit(0.0)).alias("rating"),
+        F.coalesce(F.col("votes").cast("long"), F.lit(0)).alias("votes"),
+        F.lit(1).alias("film"),
+    )
+    stacked = rows.unionByName(errors.select(F.lit(1).alias("error")), allowMissingColumns=True)
+    films = F.count("film")
+    return stacked.agg(
+        films.alias("films"),
         F.count_if("nominated").alias("nominees"),
         F.count_if(F.col("nominated") & F.col("winner")).alias("winners"),
         F.count_if(~F.col("nominated")).alias("others"),
-        F.round(F.sum(F.coalesce(F.col("rating").cast("double"), F.lit(0.0))) / total, 2).alias("mean_rating"),
-        F.floor(F.sum(F.coalesce(F.col("votes").cast("long"), F.lit(0))) / total).cast("long").alias("mean_votes"),
+        F.round(ratio(F.sum("rating"), films), 2).alias("mean_rating"),
+        F.floor(ratio(F.sum("votes"), films)).cast("long").alias("mean_votes"),
+        F.count("error").alias("errors"),
     )
-    failed = errors.agg(F.count(F.lit(1)).alias("errors"))
-    one = F.lit(1).alias("_one")
-    return main.select("*", one).join(failed.select("*", one), "_one").drop("_one")
 
 
 def first_errors(rejects: DataFrame, order: str = "id", n: int = 10) -> DataFrame:
