@@ -59,7 +59,7 @@ def rank_in_group(
     parts: int | None = None,
     salts: int = 32,
 ) -> DataFrame:
-    """SQL RANK with nulls last, where groups and ties may be large.
+    """SQL RANK with nulls last, where groups and ties may be large. Values are compared as doubles.
 
     One shuffle on (group, slot, salt). Rows of a slot with one value, and nulls, all have the rank of the slot's
     first row, so they are spread by salt; only slots between points are sorted.
@@ -75,7 +75,8 @@ def rank_in_group(
     )
     tied = F.col(order).isNull() | (F.col("_slot") % 2 == 1)
     salt = F.when(tied, F.pmod(F.xxhash64(key), F.lit(salts))).otherwise(F.lit(0))
-    value = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
+    x = F.col(order).cast("double")
+    value = x.desc_nulls_last() if descending else x.asc_nulls_last()
     local = F.rank().over(Window.partitionBy(by, "_slot", "_salt").orderBy(value))
     placed = slotted.withColumn("_salt", salt).withColumn("_local", local)
     same = F.col(by).eqNullSafe(F.col("_by")) & (F.col("_slot") == F.col("_of"))
