@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from checks import film
 from checks.film import film_sql
-from checks.registry import query, rounded
+from checks.registry import query, rounded, table
 from marquee.operators import relations
 from marquee.operators.history import earlier_successes
+from marquee.operators.ordering import rank_in_group
 from marquee.operators.scores import rating_stats
 from marquee.plans import features
 
@@ -85,6 +86,38 @@ query("pedigree_director", film_sql("SELECT imdb_id AS movie_id, n AS prev_nomin
 query("pedigree_cast", film_sql("SELECT imdb_id AS movie_id, n AS prev_nominations FROM cast_history"))(_history("cast"))
 
 
+@query(
+    "pedigree_hub",
+    film_sql("").rstrip()
+    + """, hub AS (SELECT CAST(l_orderkey AS VARCHAR) AS movie_id, CASE WHEN l_linenumber <= 2 THEN -1 ELSE l_partkey END AS person_id,
+  CASE l_returnflag WHEN 'R' THEN 'director' WHEN 'N' THEN 'writer' ELSE 'cast' END AS role FROM lineitem),
+mine AS (SELECT DISTINCT movie_id, person_id, release_year FROM hub JOIN movies ON imdb_id = movie_id WHERE role = 'director'),
+theirs AS (SELECT DISTINCT movie_id AS earlier, person_id, release_year AS yr FROM hub JOIN movies ON imdb_id = movie_id WHERE nominated_oscar)
+SELECT movie_id, count(DISTINCT earlier) AS prev_nominations FROM mine JOIN theirs USING (person_id) WHERE yr < release_year GROUP BY movie_id""",
+)
+def _(spark, sf):
+    """One person holds more than a quarter of all rows."""
+    person = F.when(F.col("l_linenumber") <= 2, F.lit(-1)).otherwise(F.col("l_partkey"))
+    involved = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("movie_id"), person.alias("person_id"), film.role_of_flag(F.col("l_returnflag")).alias("role")
+    )
+    return earlier_successes(film.movies(spark, sf), involved, {"prev_nominations": "director"})
+
+
+@query(
+    "rank_with_ties",
+    """SELECT o_orderkey, rank() OVER (PARTITION BY year(o_orderdate) ORDER BY CASE WHEN o_orderpriority < '3' THEN 1000.0
+       WHEN o_orderpriority < '5' THEN o_totalprice END DESC NULLS LAST) AS rank_in_year FROM orders""",
+)
+def _(spark, sf):
+    """Two fifths of the rows share one value and a fifth has none."""
+    priority = F.col("o_orderpriority")
+    gross = F.when(priority < "3", F.lit(1000.0)).when(priority < "5", F.col("o_totalprice"))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), gross.alias("gross"))
+    ranked = rank_in_group(rows, "year", "gross", "o_orderkey", "rank_in_year")
+    return ranked.select("o_orderkey", F.col("rank_in_year").cast("long").alias("rank_in_year"))
+
+
 @query("feature_table", film_sql(DATASET))
 def _(spark, sf):
     return rounded(dataset(spark, sf))

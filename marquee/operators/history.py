@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_PERSON = 5_000
+HOT_PERSON = 500
 _FILM = ["role", "movie_id"]
 
 
