@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, tokens
+from marquee.llm import bpe, packing, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
+
+
+@query
+def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), content=False)
