@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, packing, tokens
+from marquee.llm import bpe, packing, quality, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), content=False)
+
+
+@query
+def op6_line_field_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.rules(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
