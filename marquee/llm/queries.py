@@ -5,17 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.llm import bpe, licences, packing, quality, tokens
+from marquee.llm import bpe, licences, lines, packing, quality, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn=None, sql: str | None = None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return add(fn) if fn else add
 
 
 @query
@@ -44,3 +50,30 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
 
 
+
+
+@query(
+    sql="""
+WITH line AS (
+    SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents
+), worded AS (
+    SELECT * FROM line WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]')
+), once AS (
+    SELECT line, text, min(source) AS source FROM worded GROUP BY line, text
+), boilerplate AS (
+    SELECT line FROM once GROUP BY line HAVING count(DISTINCT source) >= 10
+), first AS (
+    SELECT line, min(ROW(doc_id, pos)) AS place FROM worded SEMI JOIN boilerplate USING (line) GROUP BY line
+), marked AS (
+    SELECT l.doc_id, l.pos, l.line, regexp_matches(l.line, '[^ \t\n\x0B\f\r]') AS worded, f.line IS NOT NULL AND ROW(l.doc_id, l.pos) <> f.place AS gone
+    FROM line l LEFT JOIN first f ON l.line = f.line
+)
+SELECT doc_id, count(*) FILTER (worded) AS n_lines, count(*) FILTER (gone) AS n_removed,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+)
+def op8_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.remove(documents(spark, sf_dir), counts=("n_lines", "n_removed"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
