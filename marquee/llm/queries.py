@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, licences, lines, packing, quality, tokens
+from marquee.llm import bpe, licences, lines, minhash, packing, quality, substrings, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,13 @@ FROM marked GROUP BY doc_id
 def op8_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.remove(documents(spark, sf_dir), counts=("n_lines", "n_removed"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "kept")
+
+
+@query
+def op3_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed_words(documents(spark, sf_dir))
