@@ -24,7 +24,7 @@ class _Base:
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1 << 60, 1 << 62)) * 8 + 5
+        self.base = int(rng.integers(1 << 58, 1 << 60)) * 8 + 5
         self.inverse = pow(self.base, -1, 1 << 64)
         self.powers = np.ones(1, np.uint64)
         self.inverses = np.ones(1, np.uint64)
@@ -33,7 +33,7 @@ class _Base:
         if len(self.powers) < n:
             size = max(n, 1 << 16, 2 * len(self.powers))
             for name, base in (("powers", self.base), ("inverses", self.inverse)):
-                a = np.full(size, base, np.uint64)
+                a = np.full(size, np.uint64(base))
                 a[0] = 1
                 setattr(self, name, np.multiply.accumulate(a))
 
