@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, licences, lines, minhash, packing, quality, substrings, tokens
+from marquee.llm import bpe, licences, lines, minhash, packing, quality, scoring, substrings, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed_words(documents(spark, sf_dir))
+
+
+@query
+def op5_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_documents(documents(spark, sf_dir))
