@@ -28,6 +28,9 @@ SIMILAR = 0.8
 #: Bands and coordinates in each: a pair at the least similarity shares no band with a chance of 6 in 100,000.
 BANDS, ROWS = 32, 6
 
+#: Texts of a bucket that are compared with each other in one task, and columns of the matrix that does it.
+BLOCK, FEATURES = 512, 4_096
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,38 +133,93 @@ def _bands(bands: int, rows: int):
     return uncollected(run)
 
 
+def bag(element: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """A weighted bag as a set: an element of weight w is w different members, so that the weighted similarity of two bags
+    is the plain one of their sets. Sorted."""
+    first = np.cumsum(weight) - weight
+    number = np.arange(int(weight.sum())) - np.repeat(first, weight)
+    return np.sort(mix(np.repeat(element, weight) + number.astype(np.uint64) * _STEP))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sets as `bag` makes them."""
+    if not len(a) or not len(b):
+        return 0.0
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    shared = int((b[at] == a).sum())
+    return shared / (len(a) + len(b) - shared)
+
+
 def _bags(batches):
     for whole in batches:
         for batch in pieces(whole, 1):
             raw = [t or b"" for t in texts(batch.column(1))]
             owner, element, weight = elements(raw)
             cut = np.searchsorted(owner, np.arange(len(raw) + 1))
-            out = [element[a:b].tobytes() for a, b in zip(cut, cut[1:])], [weight[a:b].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in out)], ["row", "elements", "weights"])
-
-
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two bags (sorted elements, weights)."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    shared = int(np.minimum(a[1][i], b[1][j]).sum())
-    return shared / (int(a[1].sum()) + int(b[1].sum()) - shared)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bag(element[a:b], weight[a:b]).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["row", "bag"])
 
 
 def _compare(least: float):
     def run(batches):
         for batch in batches:
-            bag = lambda k: [(np.frombuffer(e, np.uint64), np.frombuffer(w, "<u4").astype(np.int64)) for e, w in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist())]
-            yield batch.select([0, 1]).filter(pa.array([similarity(x, y) >= least for x, y in zip(bag(2), bag(4))], pa.bool_()))
+            bags = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            yield batch.select([0, 1]).filter(pa.array([similarity(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= least for x, y in bags], pa.bool_()))
 
     return run
 
 
 def _similar(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
-    side = lambda name: bags.select(F.col("row").alias(name), F.col("elements").alias(f"e_{name}"), F.col("weights").alias(f"w_{name}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "e_a", "w_a", "e_b", "w_b")
+    side = lambda name: bags.select(F.col("row").alias(name), F.col("bag").alias(f"bag_{name}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "bag_a", "bag_b")
     return arrow(joined, _compare(least), "a long, b long")
 
 
+def shared_members(bags: list[np.ndarray]) -> np.ndarray:
+    """How many members each two of some sets share."""
+    n = len(bags)
+    owner = np.repeat(np.arange(n), [len(b) for b in bags])
+    _, member, times = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    twice = times[member] > 1
+    owner, member = owner[twice], np.unique(member[twice], return_inverse=True)[1]
+    out = np.zeros((n, n), np.float32)
+    order = np.argsort(member, kind="stable")
+    owner, member = owner[order], member[order]
+    for begin in range(0, int(member[-1]) + 1 if len(member) else 0, FEATURES):
+        a, b = np.searchsorted(member, [begin, begin + FEATURES])
+        block = np.zeros((n, FEATURES), np.float32)
+        block[owner[a:b], member[a:b] - begin] = 1
+        out += block @ block.T
+    return out
+
+
+def _forest(least: float):
+    """Links between the classes of a group, none that the links before it have made needless."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows, classes_ = table["row"].to_numpy(), table["component"].to_numpy()
+        links: list[tuple[int, int]] = []
+        if len(np.unique(classes_)) > 1:
+            bags = [np.frombuffer(x, np.uint64) for x in table["bag"].to_pylist()]
+            shared = shared_members(bags)
+            size = np.array([len(b) for b in bags], float)
+            close = shared >= least * (size[:, None] + size[None, :] - shared) - 1e-3
+            parent = {c: c for c in classes_.tolist()}
+
+            def root(c):
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            for i, j in zip(*np.nonzero(np.triu(close & (classes_[:, None] != classes_[None, :]), 1))):
+                x, y = root(int(classes_[i])), root(int(classes_[j]))
+                if x != y and similarity(bags[i], bags[j]) >= least:
+                    parent[x] = y
+                    links.append((int(rows[i]), int(rows[j])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """(row, doc_id, class_id, kept) of every row of `docs`: its class of near duplicates and whether it stands for it.
 
@@ -171,8 +229,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     duplicate of any other. `row` numbers the rows of `docs`, which must come from storage.
 
     Equal texts meet by digest, so only one of a group of copies goes on. In a bucket of a band every text is compared with
-    the first, which makes no pairs among the others; where some of them stay apart, those in different classes are
-    compared with each other too, so no link that a band finds is lost.
+    the first, which makes no pairs among the others. Where some of them stay apart, all texts of the bucket are compared
+    inside tasks, a block with a block, and only links that join two classes leave the task; so no class is missed that any
+    link within a bucket makes, and no pairs are made as rows.
     """
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), col(doc_id).cast("long").alias("id"), col(text).alias("text"))
     signed = materialise(arrow(keyed, _bands(BANDS, ROWS), "row long, id long, digest binary, bands array<long>"))
@@ -183,17 +242,17 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     buckets = materialise(banded.join(shared, "key"))
     pairs = buckets.where("row <> lead").select(F.col("lead").alias("a"), F.col("row").alias("b")).distinct()
     ends = buckets.select("row").distinct()
-    bags = materialise(arrow(keyed.select("row", "text").join(ends, "row", "left_semi"), uncollected(_bags), "row long, elements binary, weights binary"))
+    bags = materialise(arrow(keyed.select("row", "text").join(ends, "row", "left_semi"), uncollected(_bags), "row long, bag binary"))
     links = materialise(_similar(pairs, bags, similar))
     joined = materialise(components(links))
 
     # buckets that still hold several classes
-    now = buckets.join(joined.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
-    apart = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rest = materialise(now.join(apart, "key", "left_semi").where("row <> lead").select("key", "row", "component"))
-    other = rest.select("key", F.col("row").alias("b"), F.col("component").alias("c_b"))
-    more = rest.withColumnRenamed("row", "a").join(other, "key").where("a < b and component <> c_b").select("a", "b").distinct()
-    joined = materialise(components(links.unionByName(_similar(more, bags, similar))))
+    now = buckets.where("row <> lead").join(joined.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+    apart = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("x <> y").select("key", "blocks")
+    rest = now.join(apart, "key").select("key", "row", "component", F.pmod(F.hash("row"), F.col("blocks")).alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rest = rest.join(bags, "row").select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "row", "component", "bag")
+    more = rest.groupBy("key", "i", "j").applyInArrow(_forest(similar), "a long, b long")
+    joined = materialise(components(links.unionByName(more)))
 
     # from rows over heads to classes
     head = heads.select("digest", F.col("first.row").alias("head"))
