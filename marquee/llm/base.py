@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterator
@@ -23,14 +25,9 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, have) if x)
 
 
-def arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """`fn` over the record batches of each partition."""
-    ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
-
-
-def uncollected(fn):
-    """A task function whose long-lived tables are not searched for cycles again and again; it makes none."""
+def lean(fn: Callable) -> Callable:
+    """A task function in a worker that lives on: its tables hold no cycles to search for, and what it frees goes back to
+    the system when it ends."""
 
     def run(batches):
         was = gc.isenabled()
@@ -40,10 +37,20 @@ def uncollected(fn):
         finally:
             if was:
                 gc.enable()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
 
     return run
 
 
+def arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`fn` over the record batches of each partition."""
+    ship(df.sparkSession)
+    return df.mapInArrow(lean(fn), schema)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names that no column of `df` has, whatever its case."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.base import arrow, col, fresh, pieces, texts, uncollected
+from marquee.llm.base import arrow, col, fresh, pieces, texts
 from marquee.llm.components import components
 from marquee.llm.words import Words, groups, mix, runs
 from marquee.session import materialise
@@ -130,7 +130,7 @@ def _bands(bands: int, rows: int):
                 own = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some * bands)), pa.int32()), pa.array(keys[some].reshape(-1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([d if x else None for d, x in zip(digests, some)], pa.binary()), own], ["row", "id", "digest", "bands"])
 
-    return uncollected(run)
+    return run
 
 
 def bag(element: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -242,7 +242,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     buckets = materialise(banded.join(shared, "key"))
     pairs = buckets.where("row <> lead").select(F.col("lead").alias("a"), F.col("row").alias("b")).distinct()
     ends = buckets.select("row").distinct()
-    bags = materialise(arrow(keyed.select("row", "text").join(ends, "row", "left_semi"), uncollected(_bags), "row long, bag binary"))
+    bags = materialise(arrow(keyed.select("row", "text").join(ends, "row", "left_semi")(_bags), "row long, bag binary"))
     links = materialise(_similar(pairs, bags, similar))
     joined = materialise(components(links))
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marquee.llm.base import arrow, col, uncollected
+from marquee.llm.base import arrow, col
 from marquee.session import materialise
 
 #: Tables, step of a projection (in deviations of one), and vectors wanted in a bucket.
@@ -191,7 +191,7 @@ def _searched(dim: int, n: int):
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in _best(*map(np.concatenate, zip(*held)), n)], ["query", "class", "score"])
 
-    return uncollected(run)
+    return run
 
 
 def _shape(vectors: np.ndarray, n: int, largest: float, dim: int, seed: int) -> Index:

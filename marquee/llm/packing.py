@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marquee.llm.base import arrow, named, pieces, texts, uncollected
+from marquee.llm.base import arrow, named, pieces, texts
 from marquee.llm.bpe import vocabulary_path
 from marquee.session import materialise
 
@@ -30,7 +30,7 @@ END = 2
 QUEUES = 256
 SHARED = 64
 #: Encoded chunks a worker remembers; when full, it starts again with none.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 @lru_cache(maxsize=2)
@@ -112,7 +112,7 @@ def _tokens(path: str, end: int):
                     ["doc_id", "source", "part", "n", "before", "ids"],
                 )
 
-    return uncollected(run)
+    return run
 
 
 class Mixture:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import gru
-from marquee.llm.base import arrow, named, texts, uncollected
+from marquee.llm.base import arrow, named, texts
 from marquee.session import materialise
 
 #: Documents of this remainder are held out.
@@ -93,7 +93,7 @@ def _encode(head, vocabulary: Vocabulary):
             arrays[-1] = arrays[-1].cast(pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["row", "doc_id", "held_out", "n_tokens", "n_rare", "all_logs", "rare_logs", "n_known", "ids", "tail"])
 
-    return uncollected(run)
+    return run
 
 
 def _train(weights, counts: np.ndarray):
@@ -130,7 +130,7 @@ def _score(weights, counts: np.ndarray):
 
 def counted(docs: DataFrame) -> DataFrame:
     """(word, n) of the training documents; the word null stands for the ends."""
-    return arrow(docs.select("doc_id", "text"), uncollected(_count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return arrow(docs.select("doc_id", "text")(_count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:

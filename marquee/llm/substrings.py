@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.base import arrow, col, pieces, texts, uncollected
+from marquee.llm.base import arrow, col, pieces, texts
 from marquee.llm.words import Words, groups, runs
 from marquee.session import materialise
 
@@ -72,7 +72,7 @@ def _anchors(window: int, anchor: int):
                 digests = [hashlib.md5(t).digest() for t in raw]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(own, pa.bool_()), anchors], ["row", "id", "digest", "n", "own", "anchors"])
 
-    return uncollected(run)
+    return run
 
 
 def _first_of(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +159,7 @@ def _lookups(column: int, row: int, rank: int, repeated: int, window: int, ancho
                 zero = np.zeros(len(first), np.int64)
                 yield _found(g[first], doc[first], own[first], at[first], end - begin, h[k], zero, zero, zero, zero)
 
-    return uncollected(run)
+    return run
 
 
 def _parse(window: int):
@@ -200,7 +200,7 @@ def _parse(window: int):
         if held:
             yield from parsed(held)
 
-    return uncollected(run)
+    return run
 
 
 def factors(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -261,7 +261,7 @@ def _keep(text: int, spans: int, keep: list[int], digest: bool):
                 names += ["n_words", "n_removed", "kept_sha256"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return uncollected(run)
+    return run
 
 
 def _applied(docs: DataFrame, doc_id: str, text: str, window: int, digest: bool) -> DataFrame:
