@@ -205,7 +205,7 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     Arrow batch and a bounded memory of chunks. One map over the rows, no shuffle.
     """
     rows = named(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return arrow(rows(_round_trip(path or vocabulary_path())), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow(rows, _round_trip(path or vocabulary_path()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _encode(path: str):

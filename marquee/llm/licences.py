@@ -261,4 +261,4 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """
     rows = named(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label:string,first_word:long,words:long,covered:long,share:double>>"
-    return arrow(rows(_scan), schema)
+    return arrow(rows, _scan, schema)

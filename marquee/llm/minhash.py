@@ -242,7 +242,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     buckets = materialise(banded.join(shared, "key"))
     pairs = buckets.where("row <> lead").select(F.col("lead").alias("a"), F.col("row").alias("b")).distinct()
     ends = buckets.select("row").distinct()
-    bags = materialise(arrow(keyed.select("row", "text").join(ends, "row", "left_semi")(_bags), "row long, bag binary"))
+    bags = materialise(arrow(keyed.select("row", "text").join(ends, "row", "left_semi"), _bags, "row long, bag binary"))
     links = materialise(_similar(pairs, bags, similar))
     joined = materialise(components(links))
 

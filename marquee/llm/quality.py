@@ -277,7 +277,7 @@ def rules(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "te
     columns are not read. One map over the rows.
     """
     rows = named(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return arrow(rows(_rules(field)), "doc_id long, " + RESULT)
+    return arrow(rows, _rules(field), "doc_id long, " + RESULT)
 
 
 def _keep(field: Field, column: int):
@@ -290,4 +290,4 @@ def _keep(field: Field, column: int):
 
 def keep(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
     """The rows of `docs` that are kept, with all their columns."""
-    return arrow(docs(_keep(field, docs.columns.index(text))), docs.schema)
+    return arrow(docs, _keep(field, docs.columns.index(text)), docs.schema)

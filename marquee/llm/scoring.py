@@ -130,7 +130,7 @@ def _score(weights, counts: np.ndarray):
 
 def counted(docs: DataFrame) -> DataFrame:
     """(word, n) of the training documents; the word null stands for the ends."""
-    return arrow(docs.select("doc_id", "text")(_count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return arrow(docs.select("doc_id", "text"), _count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:

@@ -54,4 +54,4 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
     Texts of any length. One map over the rows, no shuffle; a worker's memory of chunks is bounded.
     """
     rows = named(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return arrow(rows(_count(path or vocabulary_path(), limit)), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return arrow(rows, _count(path or vocabulary_path(), limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
