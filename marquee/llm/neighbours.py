@@ -22,7 +22,7 @@ from marquee.llm.base import arrow, col
 from marquee.session import materialise
 
 #: Tables, step of a projection (in deviations of one), and vectors wanted in a bucket.
-TABLES, STEP, BUCKET = 10, 2.0, 192
+TABLES, STEP, BUCKET = 10, 2.0, 1_024
 #: Queries that the number of probes is set on, vectors that the projections' number is set on, recall aimed at.
 SAMPLE, SHAPE, AIM = 200, 2_000, 0.95
 #: Candidates of a bucket in one task; a larger bucket is dealt to several.
