@@ -57,9 +57,7 @@ class Gru:
     def run(self, inputs: np.ndarray, h: np.ndarray, keep: bool = False):
         """States after each input (steps x lanes); an end clears the state before it is read."""
         p, steps = self.p, len(inputs)
-        x = p["embed"][inputs]
-        a = x.reshape(-1, EMBED) @ p["wx"] + p["bx"]
-        a = a.reshape(steps, -1, 3 * STATE)
+        a = (p["embed"] @ p["wx"] + p["bx"])[inputs]  # once for each word, not for each token
         live = (inputs != END).astype(np.float32)[:, :, None]
         states = np.empty((steps, len(h), STATE), np.float32)
         trail = []
@@ -73,7 +71,7 @@ class Gru:
             if keep:
                 trail.append((h, z, r, n, hu[:, 2 * STATE :]))
             h = states[t] = new
-        return states, h, (x, live, trail)
+        return states, h, (live, trail)
 
     def _softmax(self, logits):
         logits = logits - logits.max(1, keepdims=True)
@@ -114,7 +112,7 @@ class Gru:
     def gradients(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray):
         """(gradients of the mean loss over a window, state after it)."""
         p = self.p
-        states, last, (x, live, trail) = self.run(inputs, h, keep=True)
+        states, last, (live, trail) = self.run(inputs, h, keep=True)
         steps, lanes, _ = states.shape
         _, dh, g = self.output(states.reshape(-1, STATE), targets.reshape(-1), gradient=True)
         dh = dh.reshape(steps, lanes, STATE)
@@ -132,16 +130,16 @@ class Gru:
             dhu[t, :, 2 * STATE :] = dn * r
             back = (d * z + dhu[t] @ p["u"].T) * live[t]
         flat = da.reshape(-1, 3 * STATE)
-        before = np.stack([x[0] for x in trail]).reshape(-1, STATE)
+        before = np.stack([step[0] for step in trail]).reshape(-1, STATE)
         g["u"] = before.T @ dhu.reshape(-1, 3 * STATE)
-        g["wx"] = x.reshape(-1, EMBED).T @ flat
         g["bx"] = flat.sum(0)
-        dx = flat @ p["wx"].T
-        g["embed"] = np.zeros_like(p["embed"])
         order = np.argsort(inputs.reshape(-1), kind="stable")
         ids = inputs.reshape(-1)[order]
         first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-        g["embed"][ids[first]] = np.add.reduceat(dx[order], first)
+        by_word, ids = np.add.reduceat(flat[order], first), ids[first]  # summed before the products, again once for each word
+        g["wx"] = p["embed"][ids].T @ by_word
+        g["embed"] = np.zeros_like(p["embed"])
+        g["embed"][ids] = by_word @ p["wx"].T
         return g, last
 
 
