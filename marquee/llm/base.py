@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: Texts handled together in a task, in bytes; a longer text is handled alone.
-PIECE = 8 << 20
+PIECE = 2 << 20
 
 
 def ship(spark: SparkSession) -> None:
