@@ -89,9 +89,17 @@ def _(spark, sf):
     return flagged.select("doc_id", "english", "french")
 
 
-@query("tf_idf")
-def _(spark, sf):
-    return planned.tf_idf(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "tf_idf")
+@query(
+    "tf_idf",
+    r"""
+WITH word AS (SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '\s+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM word WHERE term <> '' GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+SELECT doc_id, term, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS weight FROM tf JOIN df USING (term)
+""",
+)
+def tf_idf(spark, sf):
+    return rounded(planned.tf_idf(table(spark, sf, "documents"), "doc_id", "text"))
 
 
 @query(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,12 +79,17 @@ def keyword_flags(df: DataFrame, text: str, keywords: Mapping[str, str]) -> Data
     return df.withColumns({o: found(w) for o, w in keywords.items()})
 
 
-def tf_idf(df: DataFrame, text: str, out: str = "tf_idf", size: int = 1 << 16) -> DataFrame:
-    """Hashed term weights of the whole text."""
-    filled = df.withColumn("_text", F.coalesce(text, F.lit("")))
-    words = Tokenizer(inputCol="_text", outputCol="_words").transform(filled)
-    counted = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=size).transform(words)
-    return IDF(inputCol="_counts", outputCol=out).fit(counted).transform(counted).drop("_text", "_words", "_counts")
+def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, tf, df, weight): exact term weights, one row per document and term.
+
+    Terms are lower-case runs between white space; weight = tf * ln((documents + 1) / (df + 1)). A document without a
+    term has no row but counts as a document. Counts are combined before each shuffle."""
+    terms = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda t: t != "")
+    tf = df.select(F.col(key), F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    per_term = tf.groupBy("term").agg(F.count("*").alias("df"))
+    documents = df.agg(F.count("*").alias("documents"))  # one row
+    weight = F.col("tf") * F.log((F.col("documents") + 1) / (F.col("df") + 1))
+    return tf.join(per_term, "term").join(F.broadcast(documents)).select(key, "term", "tf", "df", weight.alias("weight"))
 
 
 def indicator_columns(named: DataFrame, name: str, k: int, prefix: str) -> DataFrame:

@@ -183,7 +183,7 @@ def _from_arrays(counted: DataFrame, cuts) -> DataFrame:
     median = F.col("median")
     spread = F.array_sort(F.transform(h, lambda e: F.struct(F.abs(e["v"] - median).alias("v"), e["n"].alias("n"))))
     with_spread = moments.withColumn("d", _with_before(spread))
-    m2 = F.col("m2")
+    m2 = F.when(F.size(h) == 1, F.lit(0.0)).otherwise(F.col("m2"))  # equal scores have no spread, whatever rounding says
     g1 = F.when(m2 > 0, F.col("m3") / F.pow(m2, F.lit(1.5)))
     g2 = F.when(m2 > 0, F.col("m4") / (m2 * m2) - 3)
     share = lambda test: stats.ratio(_sum_over(h, lambda e: F.when(test(e["v"]), e["n"]).otherwise(0)), n)

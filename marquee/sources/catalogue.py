@@ -22,15 +22,11 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a task in
 def read_catalogue(spark: SparkSession, path: str, required: Sequence[str] = CATALOGUE_COLUMNS) -> DataFrame:
     """All columns as text, missing-value tokens as null, and `ordinal`, the row's place in file name and row order.
 
-    A file is read by one task because texts may hold line breaks; large catalogues come as many files.
+    A file is read by one task because texts may hold line breaks; large catalogues come as many files. All files have
+    the header of the first; one with other names, or the same in another order, is an error when it is read.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+    raw = reader.schema(reader.csv(path).schema).option("enforceSchema", False).csv(path)
     lost = missing_columns(raw, required)
     if lost:
         raise ExpectationFailed(f"columns missing from {path}: {lost}")
@@ -50,19 +46,29 @@ def read_catalogue(spark: SparkSession, path: str, required: Sequence[str] = CAT
 
 
 def _whole_object(spark: SparkSession, path: str, value_type: str) -> DataFrame:
-    text = spark.read.option("wholetext", True).text(path)
-    return text.select(F.explode(F.from_json("value", f"map<string,{value_type}>")).alias("key", "value"))
+    """(key, value, place) of the entries of JSON objects; a broken object is an error. `place` orders them by file."""
+    text = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    entries = F.map_entries(F.from_json("value", f"map<string,{value_type}>", {"mode": "FAILFAST"}))
+    placed = text.select("file", F.posexplode(entries).alias("at", "entry"))
+    return placed.select("entry.key", "entry.value", F.struct("file", "at").alias("place"))
+
+
+def _last(lists: DataFrame, key: str, value: str) -> DataFrame:
+    """Of a key that comes again, the last value as a whole."""
+    return lists.groupBy(F.col(key).alias("film")).agg(F.max_by(value, "place").alias("value"))
 
 
 def read_score_map(spark: SparkSession, path: str) -> DataFrame:
-    """`{key: [numbers]}` to (film, sample_index, score); keys with an empty list keep one row without a score."""
-    return explode_scores(_whole_object(spark, path, "array<double>").withColumnRenamed("key", "film"), "value")
+    """`{key: [numbers]}` to (film, sample_index, score); keys with an empty list keep one row without a score, and of a
+    repeated key the last list counts. A broken file is an error."""
+    return explode_scores(_last(_whole_object(spark, path, "array<double>"), "key", "value"), "value")
 
 
 def read_score_lines(spark: SparkSession, path: str) -> DataFrame:
     """One `{"id": ..., "scores": [...]}` per line: the form to use when the lists no longer fit one file."""
-    rows = spark.read.schema("id STRING, scores ARRAY<DOUBLE>").json(path)
-    return explode_scores(rows.withColumnRenamed("id", "film"), "scores")
+    rows = spark.read.schema("id STRING, scores ARRAY<DOUBLE>").option("mode", "FAILFAST").json(path)
+    place = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id())
+    return explode_scores(_last(rows.select("id", "scores", place.alias("place")), "id", "scores"), "value")
 
 
 def explode_scores(lists: DataFrame, column: str) -> DataFrame:
@@ -73,7 +79,7 @@ def explode_scores(lists: DataFrame, column: str) -> DataFrame:
 
 
 def read_key_set(spark: SparkSession, path: str) -> DataFrame:
-    """Keys of `{key: null}` as one column `id`."""
+    """Keys of `{key: null}` as one column `id`. A broken file is an error: it must not look like an empty list."""
     return _whole_object(spark, path, "string").select(F.col("key").alias("id")).distinct()
 
 

@@ -146,9 +146,30 @@ def test_tolerant_read(spark, folder):
     with open(f"{folder}/some.json", "w") as f:
         f.write('{"id": "a"}\n{"id": \n{"id": "b"}\n')
     assert sorted(r["id"] for r in catalogue.read_or_empty(spark, f"{folder}/some.json", "id STRING").collect()) == ["a", "b"]
+
+
+def test_broken_objects_are_errors(spark, folder):
+    for i, text in enumerate(["{broken", '{"a": [1, 2', '{"a": null, "b"']):
+        with open(f"{folder}/map{i}.json", "w") as f:
+            f.write(text)
+        for read in (catalogue.read_key_set, catalogue.read_score_map):
+            with pytest.raises(Exception, match="MALFORMED|malformed|parse"):
+                read(spark, f"{folder}/map{i}.json").collect()
+
+
+def test_last_list_of_a_key_counts(spark, folder):
     with open(f"{folder}/map.json", "w") as f:
-        f.write("{broken")
-    assert catalogue.read_key_set(spark, f"{folder}/map.json").count() == 0
+        f.write('{"a": [90, 10], "b": [], "a": [20, 80, 30]}')
+    rows = sorted(map(tuple, catalogue.read_score_map(spark, f"{folder}/map.json").collect()), key=str)
+    assert rows == [("a", 1, 20.0), ("a", 2, 80.0), ("a", 3, 30.0), ("b", None, None)]
+
+
+def test_columns_in_another_order_are_an_error(spark, folder):
+    for name, header, row in (("1", "id,text", "a,x"), ("2", "text,id", "y,b")):
+        with open(f"{folder}/{name}.csv", "w") as f:
+            f.write(header + "\n" + row + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        catalogue.read_catalogue(spark, folder, ["id", "text"]).collect()
 
 
 def test_score_lines(spark, folder):

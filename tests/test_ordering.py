@@ -56,7 +56,7 @@ def test_exact_quantiles(spark, small_rows):
     rows = [(float(x), float(y), None, 4.0 if i else float("nan")) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, none DOUBLE, constant DOUBLE")
     shares = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = exact_quantiles(df, df.columns, shares, small_rows, bins=16)
+    got = exact_quantiles(df, df.columns, shares, small_rows, accuracy=16)
     assert got["a"] == pytest.approx(np.quantile(a, shares).tolist())
     assert got["b"] == pytest.approx(np.quantile(b, shares).tolist())
     assert got["none"] == [None] * 5
@@ -69,3 +69,20 @@ def test_broadcast_only_when_small(spark):
     joined = lambda limit: big.join(broadcast_if_small(df, limit), big.k == F.col("id"))
     hinted = lambda frame: "strategy=broadcast" in frame._jdf.queryExecution().analyzed().toString()
     assert hinted(joined(100)) and not hinted(joined(99))
+
+
+def test_quantiles_of_any_values_end_in_few_passes(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    rng = np.random.default_rng(3)
+    wide = np.concatenate([10.0 ** rng.uniform(-50, 50, 3000), [float("inf")] * 3, [-float("inf")] * 2])
+    df = spark.createDataFrame([(float(x),) for x in wide], "x DOUBLE").coalesce(1)
+    passes, plain = [], DataFrame.agg
+    monkeypatch.setattr(DataFrame, "agg", lambda self, *a, **k: passes.append(1) or plain(self, *a, **k))
+    got = exact_quantiles(df, ["x"], [0, 0.25, 0.5, 1], small_rows=10, accuracy=1000)["x"]
+    s = np.sort(wide)
+    at = lambda p: s[int(p * (len(s) - 1))] if p * (len(s) - 1) % 1 == 0 else None
+    assert got[0] == -float("inf") and got[3] == float("inf") and got[2] == pytest.approx(s[1502])
+    assert at(0.25) in (None, got[1]) and len(passes) <= 1 + 2 * 4
+    half = spark.createDataFrame([(float(i),) for i in range(50)] + [(float("inf"),)], "x DOUBLE")
+    assert exact_quantiles(half, ["x"], [0.5], small_rows=10)["x"] == [25.0]

@@ -111,40 +111,18 @@ def test_rating_stats_keeps_films_without_samples(spark):
     assert got["b"]["n_samples"] == 0 and got["b"]["mean_score"] is None
 
 
-def test_list_functions_match_formulas(spark):
-    from pyspark.sql import functions as F
-
-    from marquee.functions import score_lists as sl
-    from marquee.functions.stats import entropy_bits
-
-    cases = {k: [None if v is None else float(v) for v in vs] for k, vs in edge_cases(False).items()}
-    x = F.col("x")
-    green, yellow, red = sl.colour_shares(x)
-    columns = {
-        "n_reviews": F.size(x),
-        "mean": sl.mean(x),
-        "median": sl.quantile(x, 0.5),
-        "trimmed_mean_10": sl.trimmed_mean(x, 0.1),
-        "trimmed_mean_20": sl.trimmed_mean(x, 0.2),
-        "iqr": sl.iqr(x),
-        "mad": sl.mad(x),
-        "skewness": sl.skewness(x),
-        "excess_kurtosis": sl.excess_kurtosis(x),
-        **sl.proportions_above(x),
-        "p_green_61_100": green,
-        "p_yellow_40_60": yellow,
-        "p_red_0_39": red,
-        "entropy_gyr_bits": entropy_bits([green, yellow, red]),
-    }
-    df = spark.createDataFrame(list(cases.items()), "film STRING, scores ARRAY<DOUBLE>").select("film", sl.clean(F.col("scores")).alias("x"))
-    rows = df.select("film", *[c.alias(n) for n, c in columns.items()]).collect()
-    for row in rows:
+@pytest.mark.parametrize("long_list", [0, 1000])
+def test_equal_fractions_have_no_spread(spark, long_list):
+    cases = {"tenths": [0.1] * 3, "thirds": [100 / 3] * 7, "one": [0.7], "mixed": [0.1, 0.1, 0.2, 0.7]}
+    rows = [(k, v) for k, vs in cases.items() for v in vs]
+    got = score_features(spark.createDataFrame(rows, "film STRING, score DOUBLE"), long_list=long_list).collect()
+    assert len(got) == len(cases)
+    for row in got:
         want = expected(cases[row["film"]])
-        for name in columns:
-            if want[name] is None:
-                assert row[name] is None, (row["film"], name)
-            else:
-                assert row[name] == pytest.approx(want[name], abs=1e-9), (row["film"], name)
+        for name in FEATURE_COLUMNS[1:]:
+            assert (row[name] is None) == (want[name] is None) and (want[name] is None or row[name] == pytest.approx(want[name], abs=1e-9)), (row["film"], name)
+    equal = [r for r in got if r["film"] in ("tenths", "thirds")]
+    assert all(r["std"] == 0 and r["skewness"] == 0 for r in equal)
 
 
 def test_map_of_lists(spark):
