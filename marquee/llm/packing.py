@@ -26,9 +26,11 @@ from marquee.session import materialise
 LENGTH = 4096
 #: Id that ends a document.
 END = 2
-#: Queues at most: the sources with the most tokens each have one; beyond that, sources share the rest by a hash.
+#: Up to so many sources, every task works out the shares of all of them in each sequence; with more, it knows only where
+#: sequences begin in the mixed stream. The result is the same.
 QUEUES = 256
-SHARED = 64
+#: Tokens that a task puts in order at a time to find where sequences begin.
+ORDERED = 1 << 20
 #: Encoded chunks a worker remembers; when full, it starts again with none.
 REMEMBERED = 400_000
 
@@ -189,6 +191,84 @@ def _layout(totals: list[int], rates: list[float], length: int, content: bool):
     return run
 
 
+def _begins(mixture, length: int, step: int):
+    """The first token of each sequence but sequence 0, as its queue and its index there; `step` sequences for each row."""
+
+    def run(batches):
+        totals, rates = mixture.value
+        mixed = Mixture(totals, rates)
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                wanted = np.arange(k * step + 1, (k + 1) * step + 1) * length
+                wanted = wanted[wanted < mixed.all]
+                if not len(wanted):
+                    continue
+                # a token more on either side, so that rounding of the bounds does not matter
+                low = np.maximum(mixed.served(wanted[:1])[0] - 1, 0)
+                high = np.minimum(mixed.served(wanted[-1:] + 1)[0] + 1, np.asarray(totals))
+                n = high - low
+                queue = np.repeat(np.arange(len(n)), n)
+                i = np.arange(len(queue)) - np.repeat(np.cumsum(n) - n, n) + low[queue]
+                order = np.lexsort((queue, (i + np.longdouble(0.5)) / mixed.rates[queue]))[wanted - int(low.sum())]
+                yield pa.RecordBatch.from_arrays([pa.array(wanted // length), pa.array(queue[order]), pa.array(i[order])], ["sequence", "queue", "i"])
+
+    return run
+
+
+def _sequences(dues: np.ndarray, queues: np.ndarray, due: np.ndarray, queue: int) -> np.ndarray:
+    """Sequence of each token of a queue: how many of the first tokens (`dues`, `queues`) do not come after it."""
+    low, high = np.searchsorted(dues, due, "left"), np.searchsorted(dues, due, "right")
+    while (at := np.flatnonzero(low < high)).size:  # equal dues
+        middle = (low[at] + high[at]) // 2
+        passed = queues[middle] <= queue
+        low[at], high[at] = np.where(passed, middle + 1, low[at]), np.where(passed, high[at], middle)
+    return low
+
+
+def _dealt(begins, content: bool):
+    def run(batches):
+        from zlib import crc32
+
+        dues, queues = begins.value
+        for whole in batches:
+            for batch in pieces(whole, 4):
+                doc, out, ids = [], [[] for _ in range(5)], []
+                for d, (q, p, m, raw, rate) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4, 6)))):
+                    a = np.frombuffer(raw, "<u2" if len(raw) == 2 * m else "<u4").astype("<u4")
+                    sequence = _sequences(dues, queues, (np.arange(p, p + m) + np.longdouble(0.5)) / np.longdouble(rate), q)
+                    edges = [0, *(np.flatnonzero(np.diff(sequence)) + 1).tolist(), m]
+                    for x, y in zip(edges, edges[1:]):
+                        cut = a[x:y].tobytes()
+                        doc.append(d)
+                        for o, v in zip(out, (x, y - x, crc32(cut), int(sequence[x]), p + x)):
+                            o.append(v)
+                        if content:
+                            ids.append(cut)
+                take = pa.array(doc, pa.int64())
+                start, size, crc, sequence, place = (pa.array(x, pa.int64()) for x in out)
+                arrays = [batch.column(0).take(take), start, size, crc, batch.column(3).take(take), sequence, batch.column(5).take(take), batch.column(1).take(take), place]
+                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "source", "queue", "place"]
+                yield pa.RecordBatch.from_arrays(arrays + [pa.array(ids, pa.binary())] * content, names + ["ids"] * content)
+
+    return run
+
+
+def _numbered(by_source: DataFrame, weights: dict[str, float] | None) -> DataFrame:
+    """(s, n, at, rate) of every source, numbered from the one with the most tokens; none of it passes through the driver
+    but the rows of each partition."""
+    spark = by_source.sparkSession
+    rated = by_source.withColumn("rate", F.col("n").cast("double"))
+    if weights is not None:
+        given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "w string, weight double")
+        rated = by_source.join(given, F.col("source").eqNullSafe(F.col("w")), "left").withColumn("rate", F.coalesce("weight", F.lit(1.0)))
+    ordered = rated.orderBy(F.desc("n"), F.asc_nulls_first("source")).select(F.col("source").alias("s"), "n", "rate", F.monotonically_increasing_id().alias("id"))
+    ordered = materialise(ordered.select("*", F.shiftright("id", 33).alias("slot")))
+    sizes = sorted(tuple(r) for r in ordered.groupBy("slot").count().collect())
+    bases = [(slot, sum(n for _, n in sizes[:k])) for k, (slot, _) in enumerate(sizes)]
+    bases = spark.createDataFrame(bases, "slot long, base long")
+    return ordered.join(F.broadcast(bases), "slot").select("s", "n", (F.col("base") + F.col("id") - F.shiftleft("slot", 33)).alias("at"), "rate")
+
+
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", path: str | None = None, length: int = LENGTH, end: int = END, weights: dict[str, float] | None = None, content: bool = True) -> DataFrame:
     """Pieces of documents, each with its sequence and its place there; `content` adds the ids (unsigned 32 bit, little-endian).
 
@@ -198,28 +278,39 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     Repeated rows and null ids are packed like any others; other columns are not read. No rows: no pieces.
 
     One pass writes ids to the shared folder; the counts by source and input part, which are few, give each document its
-    place in its queue; a second pass cuts. No document is shuffled, so a source with a third of all rows is spread
-    over as many tasks as its rows were read by. Within a queue, documents keep the order in which the rows are read.
+    place in its queue; a second pass cuts. A source with a third of all rows is spread over as many tasks as its rows were
+    read by. Within a queue, documents keep the order in which the rows are read. Every source has a queue of its own. With
+    more than QUEUES of them, tasks hold two numbers for each source to find the first token of every sequence, then those
+    tokens; a place in a sequence comes from a shuffle of the pieces by sequence.
     """
     spark = docs.sparkSession
     rows = named(docs, doc_id=doc_id, text=text, source=source).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"))
     stored = materialise(arrow(rows, _tokens(path or vocabulary_path(), end), "doc_id long, source string, part int, n long, before long, ids binary"))
     counted = materialise(stored.groupBy("source", "part").agg(F.sum("n").alias("n")))
     by_source = counted.groupBy("source").agg(F.sum("n").alias("n"))
-    first = by_source.orderBy(F.desc("n"), F.asc_nulls_first("source")).limit(QUEUES).collect()  # QUEUES rows at most
-    own = {r["source"]: i for i, r in enumerate(first)}
-    own_rows = spark.createDataFrame([(s, i) for s, i in own.items()], "s string, queue int")
-    queued = counted.join(F.broadcast(own_rows), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    queued = queued.withColumn("queue", F.coalesce("queue", F.lit(QUEUES) + F.pmod(F.xxhash64("source"), F.lit(SHARED)).cast("int")))
-    totals = {r["queue"]: r["n"] for r in queued.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # QUEUES + SHARED at most
-    order = sorted(totals)
-    place = {q: i for i, q in enumerate(order)}
-    names = {i: s for s, i in own.items()}
-    rates = [float(totals[q]) if weights is None else float(weights.get(names.get(q), 1.0)) for q in order]
-    dense = spark.createDataFrame([(q, i) for q, i in place.items()], "queue int, at int")
-    begun = Window.partitionBy("queue").orderBy("part", F.asc_nulls_first("source")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = queued.withColumn("base", F.coalesce(F.sum("n").over(begun), F.lit(0))).join(F.broadcast(dense), "queue").select(F.col("source").alias("s"), F.col("part").alias("p"), "at", "base")
+    first = by_source.orderBy(F.desc("n"), F.asc_nulls_first("source")).limit(QUEUES + 1).collect()  # QUEUES + 1 rows at most
+    few = len(first) <= QUEUES
+    if few:
+        rates = [float(r["n"]) if weights is None else float(weights.get(r["source"], 1.0)) for r in first]
+        queues = F.broadcast(spark.createDataFrame([(r["source"], i, x) for i, (r, x) in enumerate(zip(first, rates))], "s string, at long, rate double"))
+    else:
+        queues = materialise(_numbered(by_source, weights))
+    begun = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.withColumn("base", F.coalesce(F.sum("n").over(begun), F.lit(0))).drop("n").join(queues, F.col("source").eqNullSafe(F.col("s")))
+    offsets = offsets.select("s", F.col("part").alias("p"), "at", "base", "rate")
     placed = stored.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
-    placed = placed.select("doc_id", F.col("at").cast("long").alias("at"), (F.col("base") + F.col("before")).alias("place"), "n", "ids", "source")
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
-    return arrow(placed, _layout([totals[q] for q in order], rates, length, content), schema + ", ids binary" * content)
+    placed = placed.select("doc_id", "at", (F.col("base") + F.col("before")).alias("place"), "n", "ids", "source", "rate")
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string" + ", ids binary" * content
+    if few:
+        return arrow(placed.drop("rate"), _layout([r["n"] for r in first], rates, length, content), schema)
+    table = queues.select("at", "n", "rate").orderBy("at").toArrow()  # numbers only
+    totals, rates = table["n"].to_numpy(), table["rate"].to_numpy()
+    step = max(1, ORDERED // length)
+    ranges = spark.range(int(totals.sum()) // (length * step) + 1)
+    found = arrow(ranges, _begins(spark.sparkContext.broadcast((totals, rates)), length, step), "sequence long, queue long, i long").toArrow().sort_by("sequence")
+    queue = found["queue"].to_numpy()
+    begins = spark.sparkContext.broadcast(((found["i"].to_numpy() + np.longdouble(0.5)) / rates.astype(np.longdouble)[queue], queue))
+    pieced = arrow(placed, _dealt(begins, content), schema.replace("offset long, source string", "source string, queue long, place long"))
+    inside = Window.partitionBy("sequence_id").orderBy("queue", "place").rowsBetween(Window.unboundedPreceding, -1)
+    pieced = pieced.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)))
+    return pieced.select(*[f.split()[0] for f in schema.split(", ")])

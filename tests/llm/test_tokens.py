@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -90,5 +91,37 @@ def test_windows_hold_the_mixture():
         assert np.abs(served.reshape(-1) - np.array([600, 300, 100]) * window).max() <= len(totals)
 
 
+@pytest.mark.parametrize("weights", [None, {"s7": 40.0, "s299": 9.0, None: 3.0}])
+def test_every_source_has_a_queue(spark, folder, library, weights):
+    """With more sources than a task can hold shares of, windows hold what a sort of all tokens by their dues gives."""
+    texts = [(i, " ".join(["alpha beta gamma"] * (1 + i % 5)), None if i % 300 == 3 else f"s{i % 300}") for i in range(450)]
+    texts += [(1000 + i, "hot words " * 30, "hot") for i in range(20)]
+    spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(3).write.parquet(folder + "/t")
+    out = packing.pack(spark.read.parquet(folder + "/t"), length=64, weights=weights).collect()
+    totals = Counter()
+    for _, text, source in texts:
+        totals[source] += len(_ids(library, text)) + 1
+    order = sorted(totals, key=lambda s: (-totals[s], s is not None, s or ""))
+    rate = {s: totals[s] if weights is None else Fraction(weights.get(s, 1.0)) for s in order}
+    stream = sorted((Fraction(2 * i + 1, 2) / rate[s], k, s) for k, s in enumerate(order) for i in range(totals[s]))
+    want = Counter((at // 64, s) for at, (_, _, s) in enumerate(stream))
+    got, places = Counter(), defaultdict(list)
+    for p in out:
+        got[(p["sequence_id"], p["source"])] += p["length"]
+        places[p["sequence_id"]].append((p["offset"], p["length"]))
+    assert got == want
+    for pieces in places.values():
+        pieces.sort()
+        assert [o for o, _ in pieces] == [sum(n for _, n in pieces[:k]) for k in range(len(pieces))]
+
+
+@pytest.mark.parametrize("weights", [None, {"hot": 3.0}])
+def test_many_sources_are_packed_like_few(docs, monkeypatch, weights):
+    few = packing.pack(docs, length=256, weights=weights).collect()
+    monkeypatch.setattr(packing, "QUEUES", 1)
+    monkeypatch.setattr(packing, "ORDERED", 1024)
+    assert Counter(packing.pack(docs, length=256, weights=weights).collect()) == Counter(few)
+
+
 def test_empty_tables(empty):
     assert not bpe.round_trip(empty).count() + tokens.token_counts(empty).count() + packing.pack(empty).count()
