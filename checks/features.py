@@ -66,7 +66,7 @@ def _(spark, sf):
     film_sql(
         "SELECT movie_id, count(*) AS num_genres, max(CAST(name = 'ECONOMY' AS INTEGER)) AS is_drama, "
         "max(CAST(name = 'STANDARD' AS INTEGER)) AS is_biography, max(CAST(name = 'PROMO' AS INTEGER)) AS is_history "
-        "FROM genre_names GROUP BY movie_id"
+        "FROM movie_genres JOIN genres ON genres.id = genre_id GROUP BY movie_id"
     ),
 )
 def _(spark, sf):

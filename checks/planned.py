@@ -158,7 +158,7 @@ def _(spark, sf):
     "category_by_class",
     film_sql(
         "SELECT name, count(*) FILTER (NOT nominated_oscar) AS n_0, count(*) FILTER (nominated_oscar) AS n_1 "
-        "FROM genre_names JOIN movies ON imdb_id = movie_id GROUP BY name"
+        "FROM movie_genres JOIN genres ON genres.id = genre_id JOIN movies ON imdb_id = movie_id GROUP BY name"
     ),
 )
 def _(spark, sf):

@@ -22,7 +22,8 @@ def exact_quantiles(
     """Quantiles per column over its non-null values.
 
     Up to `small_rows` values the built-in exact percentile is used. Beyond that its value map would grow with the
-    data in one task, so the wanted ranks are found by narrowing, in about four passes at most for any values.
+    data in one task, so the wanted ranks are found by narrowing: every pass takes at least two values and all their copies out of each
+    rank's span, and with the default accuracy all but some thousandths of the rest.
     """
     if not columns:
         return {}
@@ -66,16 +67,13 @@ def exact_quantiles(
 def _values_at_ranks(data: DataFrame, limits: dict, sizes: Sequence[int], accuracy: int) -> dict:
     """`limits` holds (lowest, highest) for each (column, rank); all ranks are narrowed together.
 
-    A pass takes two approximate quantiles around the rank among the values between its limits, then counts exactly. Some
-    thousandths of the values are left each time, whatever their distribution; few enough, and both are the value itself.
+    A pass takes two approximate quantiles around the rank among the values between its limits, then counts the values
+    below, equal to and above each of them. A rank among the equal ones is found; otherwise the values strictly between
+    two edges remain, so both edges are gone for certain and, with distinct values, all but some thousandths as well.
     """
-    found = {}
-    spans = {key: (lo, hi, 0, sizes[key[0]]) for key, (lo, hi) in limits.items()}
-    while True:
-        found |= {key: lo for key, (lo, hi, _, _) in spans.items() if lo == hi}
-        spans = {key: v for key, v in spans.items() if key not in found}
-        if not spans:
-            return found
+    found = {key: lo for key, (lo, hi) in limits.items() if lo == hi}
+    spans = {key: (lo, hi, 0, sizes[key[0]]) for key, (lo, hi) in limits.items() if lo != hi}
+    while spans:
         keys = list(spans)
         asked = []
         for j, (i, rank) in enumerate(keys):
@@ -87,16 +85,27 @@ def _values_at_ranks(data: DataFrame, limits: dict, sizes: Sequence[int], accura
         edges = data.agg(*asked).first()
         counts = []
         for j, (i, _) in enumerate(keys):
-            x = F.col(f"c{i}")
-            counts += [F.count_if(x < edges[f"q{j}"][0]).alias(f"a{j}"), F.count_if(x <= edges[f"q{j}"][1]).alias(f"b{j}")]
-            counts += [F.max(F.when(x < edges[f"q{j}"][0], x)).alias(f"l{j}"), F.min(F.when(x > edges[f"q{j}"][1], x)).alias(f"h{j}")]
+            x, (q0, q1) = F.col(f"c{i}"), edges[f"q{j}"]
+            inner = (x > q0) & (x < q1)
+            counts += [F.count_if(c).alias(f"{n}{j}") for n, c in (("a", x < q0), ("b", x <= q0), ("c", x < q1), ("d", x <= q1))]
+            counts += [F.max(F.when(x < q0, x)).alias(f"e{j}"), F.min(F.when(inner, x)).alias(f"f{j}")]
+            counts += [F.max(F.when(inner, x)).alias(f"g{j}"), F.min(F.when(x > q1, x)).alias(f"h{j}")]
         got = data.agg(*counts).first()
         for j, key in enumerate(keys):
-            lo, hi, below, m = spans[key]
-            first, last = got[f"a{j}"], got[f"b{j}"]
-            if key[1] < first:
-                spans[key] = lo, got[f"l{j}"], below, first - below
-            elif key[1] >= last:
-                spans[key] = got[f"h{j}"], hi, last, below + m - last
+            rank, (lo, hi, below, m), (q0, q1) = key[1], spans.pop(key), edges[f"q{j}"]
+            under, upto, before, through = (got[f"{n}{j}"] for n in "abcd")
+            if rank < under:
+                left = lo, got[f"e{j}"], below, under - below
+            elif rank < upto:
+                left = q0, q0, under, upto - under
+            elif rank < before:
+                left = got[f"f{j}"], got[f"g{j}"], upto, before - upto
+            elif rank < through:
+                left = q1, q1, before, through - before
+            else:
+                left = got[f"h{j}"], hi, through, below + m - through
+            if left[0] == left[1]:
+                found[key] = left[0]
             else:
-                spans[key] = edges[f"q{j}"][0], edges[f"q{j}"][1], first, last - first
+                spans[key] = left
+    return found

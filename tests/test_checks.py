@@ -38,3 +38,13 @@ def test_query_equals_sql(spark, con, name):
     columns = [d[0] for d in want.description]
     assert sorted(df.columns) == sorted(columns)
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(want.fetchall(), columns)
+
+
+def test_every_sql_text_can_be_prepared(con):
+    broken = {}
+    for name, text in contract.oracle_sql().items():
+        try:
+            con.execute(f"EXPLAIN {text}")
+        except duckdb.Error as e:
+            broken[name] = str(e)
+    assert not broken

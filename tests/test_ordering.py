@@ -72,7 +72,7 @@ def test_broadcast_only_when_small(spark):
 
 
 def test_quantiles_of_any_values_end_in_few_passes(spark, monkeypatch):
-    from pyspark.sql import DataFrame
+    from pyspark.sql.classic.dataframe import DataFrame  # the class of the session's frames
 
     rng = np.random.default_rng(3)
     wide = np.concatenate([10.0 ** rng.uniform(-50, 50, 3000), [float("inf")] * 3, [-float("inf")] * 2])
@@ -83,6 +83,21 @@ def test_quantiles_of_any_values_end_in_few_passes(spark, monkeypatch):
     s = np.sort(wide)
     at = lambda p: s[int(p * (len(s) - 1))] if p * (len(s) - 1) % 1 == 0 else None
     assert got[0] == -float("inf") and got[3] == float("inf") and got[2] == pytest.approx(s[1502])
-    assert at(0.25) in (None, got[1]) and len(passes) <= 1 + 2 * 4
+    assert at(0.25) in (None, got[1]) and 3 <= len(passes) <= 1 + 2 * 4
     half = spark.createDataFrame([(float(i),) for i in range(50)] + [(float("inf"),)], "x DOUBLE")
     assert exact_quantiles(half, ["x"], [0.5], small_rows=10)["x"] == [25.0]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[0.0] * 500 + [1.0] * 500, [0.0] * 499 + [1.0] * 501, [0.0] * 400 + [0.5] + [1.0] * 599, [1.0, 2.0, 3.0] * 300, list(range(1000))],
+)
+def test_quantiles_between_frequent_values(spark, monkeypatch, values):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    df = spark.createDataFrame([(float(v),) for v in values], "x DOUBLE").coalesce(2)
+    passes, plain = [], DataFrame.agg
+    monkeypatch.setattr(DataFrame, "agg", lambda self, *a, **k: passes.append(1) or plain(self, *a, **k))
+    shares = [0.25, 0.4, 0.5, 0.75]
+    assert exact_quantiles(df, ["x"], shares, small_rows=10)["x"] == pytest.approx(np.quantile(values, shares).tolist())
+    assert len(passes) <= 1 + 2 * 4
