@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, licences, lines, minhash, neighbours, packing, quality, scoring, substrings, tokens
+from marquee.llm import bpe, licences, lines, minhash, neighbours, packing, quality, scoring, simhash, substrings, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op5_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op13_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
