@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, licences, lines, minhash, neighbours, packing, quality, scoring, simhash, substrings, tokens
+from marquee.llm import bpe, licences, lines, minhash, neighbours, packing, phrases, quality, scoring, simhash, substrings, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,42 @@ def op1_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query(
+    sql=r"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, row_number() OVER () AS id, list_filter(regexp_split_to_array(piece, '[ \t]'), lambda w: w <> '') AS words FROM piece
+), word AS (
+    SELECT lang, id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM worded
+), chain AS (
+    SELECT lang, w, lead(w) OVER own AS w2, lead(w, 2) OVER own AS w3 FROM word WINDOW own AS (PARTITION BY id ORDER BY i)
+), f AS (
+    SELECT lang, [w] AS p, count(*) AS n FROM chain GROUP BY ALL
+    UNION ALL SELECT lang, [w, w2], count(*) FROM chain WHERE w2 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, [w, w2, w3], count(*) FROM chain WHERE w3 IS NOT NULL GROUP BY ALL
+), candidate AS (
+    SELECT lang, p, n FROM f WHERE len(p) > 1 AND n >= 10
+), longer AS (
+    SELECT lang, p, max(n) AS n FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, n FROM candidate WHERE len(p) = 3) GROUP BY ALL
+), cut AS (
+    SELECT c.lang, c.p, c.n AS a, k, x.n AS l, y.n AS r, CAST(1000000::HUGEINT * c.n * c.n // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+    FROM candidate c CROSS JOIN (VALUES (1), (2)) AS size(k) JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k]
+    JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:len(c.p)]
+    LEFT JOIN longer o ON o.lang = c.lang AND o.p = c.p
+    WHERE k < len(c.p) AND (o.n IS NULL OR 100 * o.n < 50 * c.n)
+), weakest AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank FROM weakest
+)
+SELECT lang, rank, phrase, a, l, r, CAST(s.n AS BIGINT) AS n, score
+FROM ranked JOIN (SELECT lang, sum(n) AS n FROM f WHERE len(p) = 1 GROUP BY lang) s USING (lang) WHERE rank <= 2000
+"""
+)
+def op12_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return phrases.mine(documents(spark, sf_dir))
