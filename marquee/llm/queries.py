@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, licences, lines, minhash, neighbours, packing, phrases, quality, scoring, simhash, substrings, tokens
+from marquee.llm import bpe, licences, lines, minhash, neighbours, packing, phrases, prefixes, quality, scoring, simhash, substrings, tokens
 from marquee.llm.base import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,36 @@ FROM ranked JOIN (SELECT lang, sum(n) AS n FROM f WHERE len(p) = 1 GROUP BY lang
 def op12_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of each language."""
     return phrases.mine(documents(spark, sf_dir))
+
+
+@query(
+    sql=r"""
+WITH own AS (
+    SELECT conv_id AS c, list(ROW(coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), summed AS (
+    SELECT *, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), lambda s, x:
+        list_reduce([xor(s, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)) AS crc FROM own
+), shared AS (
+    SELECT c, turns, CAST(xor(crc, 4294967295::BIGINT) % 4 AS INTEGER) AS h FROM summed
+), rebuilt AS (
+    SELECT s.c, list_concat(coalesce(b.turns, [])[1:h], s.turns[h + 1:len(s.turns)]) AS turns FROM shared s LEFT JOIN own b ON b.c = s.c - s.c % 20
+), place AS (
+    SELECT c, unnest(range(0, len(turns) + 1)) AS d, turns FROM rebuilt
+), node AS (
+    SELECT turns[1:d] AS p, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(turns) = d), '')) AS ends_sha256
+    FROM place GROUP BY ALL
+), counted AS (
+    SELECT n.*, parent.conv_id AS parent_conv_id, (SELECT count(*) FROM node k WHERE k.depth = n.depth + 1 AND k.p[1:n.depth] = n.p) AS n_children,
+        (n.n_convs - 1) * (CASE WHEN n.depth = 0 THEN 0 ELSE len(regexp_extract_all(n.p[-1][2], '[^\x20\x09-\x0D]+')) END) AS spared
+    FROM node n LEFT JOIN node parent ON parent.depth = n.depth - 1 AND n.p[1:n.depth - 1] = parent.p
+)
+SELECT any_value(n.conv_id) AS conv_id, n.depth, any_value(n.parent_conv_id) AS parent_conv_id, any_value(n.n_convs) AS n_convs, any_value(n.n_children) AS n_children,
+    count(*) FILTER (below.n_children = 0) AS n_leaves, CAST(sum(below.spared) AS BIGINT) AS saved_tokens, any_value(n.ends_sha256) AS ends_sha256
+FROM counted n JOIN counted below ON below.depth >= n.depth AND below.p[1:n.depth] = n.p GROUP BY n.p, n.depth
+"""
+)
+def op11_conversation_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of rebuilt conversations."""
+    return prefixes.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
