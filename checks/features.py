@@ -8,7 +8,7 @@ from checks import film
 from checks.film import film_sql
 from checks.registry import query, rounded, table
 from marquee.operators import relations
-from marquee.operators.history import earlier_successes
+from marquee.operators.history import coworkers, earlier_successes
 from marquee.operators.ordering import rank_in_group
 from marquee.operators.scores import rating_stats
 from marquee.plans import features
@@ -104,6 +104,60 @@ def _(spark, sf):
     return earlier_successes(film.movies(spark, sf), involved, {"prev_nominations": "director"})
 
 
+_HUBS = """, hub AS (SELECT CAST(l_orderkey AS VARCHAR) AS movie_id, CASE WHEN l_linenumber <= 3 THEN -1 - l_suppkey % 40 ELSE l_partkey END AS person_id,
+  CASE l_returnflag WHEN 'R' THEN 'director' WHEN 'N' THEN 'writer' ELSE 'cast' END AS role FROM lineitem)"""
+
+
+def _hubs(spark, sf):
+    """Forty people hold more than a third of all rows and share films."""
+    person = F.when(F.col("l_linenumber") <= 3, -1 - F.col("l_suppkey") % 40).otherwise(F.col("l_partkey"))
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("movie_id"), person.alias("person_id"), film.role_of_flag(F.col("l_returnflag")).alias("role")
+    )
+
+
+@query(
+    "pedigree_many_hubs",
+    film_sql("").rstrip()
+    + _HUBS
+    + """, good AS (SELECT DISTINCT movie_id AS earlier, person_id, release_year AS yr FROM hub JOIN movies ON imdb_id = movie_id WHERE nominated_oscar),
+mine AS (SELECT DISTINCT movie_id, person_id, release_year FROM hub JOIN movies ON imdb_id = movie_id WHERE role = 'director')
+SELECT movie_id, count(DISTINCT earlier) AS prev_nominations FROM mine JOIN good USING (person_id) WHERE yr < release_year GROUP BY movie_id""",
+)
+def _(spark, sf):
+    return earlier_successes(film.movies(spark, sf), _hubs(spark, sf), {"prev_nominations": "director"})
+
+
+def _coworkers(role):
+    return lambda spark, sf: coworkers(film.movie_people(spark, sf), role)
+
+
+for _role in ("director", "cast"):
+    query(
+        f"coworkers_{_role}",
+        film_sql(
+            "SELECT a.person_id, count(DISTINCT b.person_id) - 1 AS coworkers FROM movie_people a JOIN movie_people b USING (movie_id) "
+            f"WHERE a.role = '{_role}' GROUP BY a.person_id"
+        ),
+    )(_coworkers(_role))
+
+
+@query(
+    "coworkers_crowd",
+    """WITH crowd AS (SELECT CASE WHEN l_linenumber = 1 THEN -1 ELSE l_orderkey END AS movie_id, l_partkey AS person_id FROM lineitem),
+link AS (SELECT DISTINCT movie_id, person_id FROM crowd), big AS (SELECT person_id FROM link WHERE movie_id = -1),
+small AS (SELECT a.person_id, b.person_id AS other FROM link a JOIN link b USING (movie_id) WHERE movie_id <> -1),
+every AS (SELECT a.person_id, b.person_id AS other FROM big a CROSS JOIN big b UNION SELECT person_id, other FROM small UNION SELECT person_id, person_id FROM link)
+SELECT person_id, count(*) - 1 AS coworkers FROM every GROUP BY person_id""",
+)
+def _(spark, sf):
+    """One film holds a quarter of all rows."""
+    crew = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") == 1, F.lit(-1)).otherwise(F.col("l_orderkey")).alias("movie_id"), F.col("l_partkey").alias("person_id")
+    )
+    return coworkers(crew)
+
+
 @query(
     "rank_with_ties",
     """SELECT o_orderkey, rank() OVER (PARTITION BY year(o_orderdate) ORDER BY CASE WHEN o_orderpriority < '3' THEN 1000.0

@@ -1,14 +1,76 @@
-"""How many earlier successful films the people of a film took part in."""
+"""How many different things a key reaches through what it is linked to: earlier successes of a film's people, co-workers."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_PERSON = 500
-_FILM = ["role", "movie_id"]
+from marquee.operators.ordering import numbered
+
+#: Links beyond which a person (or film) is counted through bitmaps instead of being joined row by row.
+HOT = HOT_PERSON = 500
+
+
+def distinct_reached(mine: DataFrame, theirs: DataFrame, keys: Sequence[str], hot: int = HOT) -> DataFrame:
+    """(*keys, n): the number of different items that a key reaches. Keys that reach none may be missing.
+
+    `mine`: the keys, via, year; `theirs`: via, item, then. An item counts if `then`, a property of the item, is below `year`,
+    a property of the keys.
+
+    A via with few items is joined row by row, so at most `hot` rows leave each row of `mine`. The items of the others are
+    bitmaps, one for each via and block of items, the items being numbered by `then`. Keys with the same set of such vias are
+    one; the bitmaps of a set are joined by or, and their bits counted, by block. So no two keys and no two items of a busy
+    via ever meet, and the work on bitmaps follows the number of different sets, not of their pairs. Both ways are exact.
+    """
+    keys = list(keys)
+    busy = theirs.groupBy("via").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("via")
+    if busy.isEmpty():
+        return _pairs(mine, theirs, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    my_busy, their_busy = mine.join(busy, "via", "left_semi"), theirs.join(busy, "via", "left_semi").distinct()
+    pairs = _pairs(mine, theirs.join(busy, "via", "left_anti"), keys)
+
+    # what is reached through others and through a busy via of the key as well
+    shared = (
+        pairs.join(my_busy.select(*keys, "via"), keys)
+        .join(their_busy.select("item", "via"), ["item", "via"], "left_semi")
+        .select(*keys, "item")
+        .distinct()
+    )
+    apart = pairs.join(shared, [*keys, "item"], "left_anti").groupBy(*keys).agg(F.count(F.lit(1)).alias("a"))
+
+    sets = my_busy.groupBy(*keys, "year").agg(F.array_sort(F.collect_set("via")).alias("set"))
+    sets = sets.withColumn("crew", F.sha2(F.to_json(F.struct("set")), 256))
+    members = sets.select("crew", "set").dropDuplicates(["crew"]).select("crew", F.explode("set").alias("via"))
+    hits = (
+        members.join(item_bitmaps(their_busy), "via")
+        .groupBy("crew", "then", "block")
+        .agg(F.bitmap_or_agg("bits").alias("bits"))
+        .groupBy("crew", F.col("then").alias("year"))
+        .agg(F.sum(F.bitmap_count("bits")).alias("hits"))
+    )
+    asked = sets.select("crew", "year").distinct().withColumn("hits", F.lit(0).cast("long"))
+    per_year = hits.unionByName(asked).groupBy("crew", "year").agg(F.sum("hits").alias("hits"))
+    before = Window.partitionBy("crew").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    reached = per_year.withColumn("b", F.coalesce(F.sum("hits").over(before), F.lit(0))).drop("hits")
+    through_busy = sets.join(reached, ["crew", "year"]).select(*keys, "b")
+    total = F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))
+    return apart.join(through_busy, keys, "full").select(*keys, total.alias("n")).filter(F.col("n") > 0)
+
+
+def _pairs(mine: DataFrame, theirs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return mine.join(theirs, "via").filter(F.col("then") < F.col("year")).select(*keys, "item").distinct()
+
+
+def item_bitmaps(links: DataFrame) -> DataFrame:
+    """(via, then, block, bits) of links (via, item, then): the items of a via, numbered in the order of `then`, as bitmaps."""
+    items = numbered(links.select("item", "then").distinct(), ["then", "item"], "number")
+    placed = links.select("via", "item").join(items, "item")
+    number = F.col("number") + 1
+    return placed.groupBy("via", "then", F.bitmap_bucket_number(number).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+    )
 
 
 def earlier_successes(
@@ -16,17 +78,13 @@ def earlier_successes(
     involved: DataFrame,
     outputs: Mapping[str, str],
     success: str = "nominated_oscar",
-    hot: int = HOT_PERSON,
+    hot: int = HOT,
 ) -> DataFrame:
     """Per film and role, the number of distinct successful films of earlier years that share a person with it.
 
     The person counts in the named role for the film itself and in any role for the earlier film. `outputs` maps output
     column to role. Films without any such history are not in the result. `films`: imdb_id, release_year and the
-    success flag; `involved`: movie_id, person_id, role.
-
-    A person with few successes is joined row by row: at most `hot` pairs leave each bridge row. A person with more
-    would give a pair for every two of their films, so those people are counted through cumulative counts per
-    combination of such people and year, and never paired film by film.
+    success flag; `involved`: movie_id, person_id, role. See `distinct_reached`.
     """
     summed = success_counts(films, involved, outputs, success, hot).groupBy("movie_id")
     return summed.agg(*[F.coalesce(F.sum(o), F.lit(0)).alias(o) for o in outputs])
@@ -37,78 +95,27 @@ def success_counts(
     involved: DataFrame,
     outputs: Mapping[str, str],
     success: str = "nominated_oscar",
-    hot: int = HOT_PERSON,
+    hot: int = HOT,
 ) -> DataFrame:
     """The same as partial counts, to be summed by film."""
     years = films.select(F.col("imdb_id").alias("movie_id"), F.col("release_year").alias("year"))
-    people = involved.filter(F.col("role").isin(list(outputs.values()))).select("role", "movie_id", "person_id")
-    mine = people.join(years, "movie_id")
-    good = films.filter(F.col(success)).select(F.col("imdb_id").alias("movie_id"), F.col("release_year").alias("then"))
-    theirs = (
-        involved.select("movie_id", "person_id")
-        .join(good, "movie_id")
-        .select(F.col("movie_id").alias("earlier"), "person_id", "then")
-    )
-    if _more_than(involved, hot).isEmpty():  # cheap: nobody has that many films of any kind
-        busy = None
-    else:
-        busy = _more_than(theirs, hot)
-    if busy is None or busy.isEmpty():
-        counted = _pairs(mine, theirs).withColumn("n", F.lit(1).cast("long"))
-    else:
-        counted = _with_busy_people(mine, theirs, busy)
+    people = involved.filter(F.col("role").isin(list(outputs.values()))).select("role", "movie_id", F.col("person_id").alias("via"))
+    good = films.filter(F.col(success)).select(F.col("imdb_id").alias("item"), F.col("release_year").alias("then"))
+    theirs = involved.select(F.col("movie_id").alias("item"), F.col("person_id").alias("via")).join(good, "item")
+    counted = distinct_reached(people.join(years, "movie_id"), theirs, ["role", "movie_id"], hot)
     per_role = [F.when(F.col("role") == r, F.col("n")).alias(o) for o, r in outputs.items()]
     return counted.select("movie_id", *per_role)
 
 
-def _more_than(bridge: DataFrame, limit: int) -> DataFrame:
-    counted = bridge.groupBy("person_id").agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter(F.col("n") > limit).select("person_id")
-
-
-def _pairs(mine: DataFrame, theirs: DataFrame) -> DataFrame:
-    joined = mine.join(theirs, "person_id").filter(F.col("then") < F.col("year"))
-    return joined.select(*_FILM, "earlier").distinct()
+def coworkers(involved: DataFrame, role: str | None = None, hot: int = HOT) -> DataFrame:
+    """(person_id, coworkers): the number of other people in the films of a person, in those where they have `role` if it is
+    given; the others count in any role. People who always work alone have 0. Rows without film or person are left out.
 
-
-def _with_busy_people(mine: DataFrame, theirs: DataFrame, busy: DataFrame) -> DataFrame:
-    my_busy, their_busy = mine.join(busy, "person_id", "left_semi"), theirs.join(busy, "person_id", "left_semi")
-    pairs = _pairs(mine, theirs.join(busy, "person_id", "left_anti"))
-
-    # Films reached through other people that a busy person of the film reaches as well.
-    shared = (
-        pairs.join(my_busy.select(*_FILM, "person_id"), _FILM)
-        .join(their_busy.select("earlier", "person_id"), ["earlier", "person_id"], "left_semi")
-        .select(*_FILM, "earlier")
-        .distinct()
-    )
-    apart = pairs.join(shared, [*_FILM, "earlier"], "left_anti").groupBy(*_FILM).agg(F.count(F.lit(1)).alias("a"))
-
-    # Busy people only: films with the same set of them and the same year are counted as one.
-    crew = my_busy.groupBy(*_FILM, "year").agg(F.array_sort(F.collect_set("person_id")).alias("crew"))
-    their_crews = (
-        their_busy.groupBy("earlier", "then")
-        .agg(F.array_sort(F.collect_set("person_id")).alias("their_crew"))
-        .groupBy("their_crew", "then")
-        .agg(F.count(F.lit(1)).alias("hits"))
-    )
-    crews = crew.select("crew").distinct()
-    meeting = (
-        crews.select("crew", F.explode("crew").alias("person_id"))
-        .join(their_crews.select("their_crew").distinct().withColumn("person_id", F.explode("their_crew")), "person_id")
-        .select("crew", "their_crew")
-        .distinct()
-    )
-    per_year = (
-        meeting.join(their_crews, "their_crew")
-        .groupBy("crew", F.col("then").alias("year"))
-        .agg(F.sum("hits").alias("hits"))
-        .unionByName(crew.select("crew", "year").distinct().withColumn("hits", F.lit(0).cast("long")))
-        .groupBy("crew", "year")
-        .agg(F.sum("hits").alias("hits"))
-    )
-    before = Window.partitionBy("crew").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
-    reached = per_year.withColumn("b", F.coalesce(F.sum("hits").over(before), F.lit(0)))
-    through_busy = crew.join(reached, ["crew", "year"]).select(*_FILM, "b")
-    total = F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))
-    return apart.join(through_busy, _FILM, "full").select(*_FILM, total.alias("n")).filter(F.col("n") > 0)
+    A film with few people is joined row by row; the people of the others are bitmaps, and films are what people have in
+    common. See `distinct_reached`."""
+    known = involved.filter(F.col("movie_id").isNotNull() & F.col("person_id").isNotNull())
+    own = known if role is None else known.filter(F.col("role") == role)
+    mine = own.select("person_id", F.col("movie_id").alias("via"), F.lit(1).alias("year")).distinct()
+    theirs = known.select(F.col("movie_id").alias("via"), F.col("person_id").alias("item"), F.lit(0).alias("then")).distinct()
+    counted = distinct_reached(mine, theirs, ["person_id"], hot)
+    return counted.select("person_id", (F.col("n") - 1).alias("coworkers"))  # everybody reaches themselves

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from marquee.operators.history import earlier_successes
+from marquee.operators.history import coworkers, earlier_successes, success_counts
+from marquee.operators.ordering import numbered
 
 OUT = {"d": "director", "c": "cast"}
 
@@ -62,3 +63,51 @@ def test_edges(spark):
         got = run(spark, films, involved, hot)
         assert got["now"] == {"d": 2, "c": 0}
         assert got == brute(films, involved)
+
+
+def test_forty_hubs_who_share_films(spark):
+    rng = random.Random(8)
+    films = [(f"m{i}", rng.randint(2000, 2006), rng.random() < 0.5) for i in range(300)]
+    involved = sorted({(f, rng.choice([-1 - rng.randrange(40), rng.randint(1, 200)]), "director") for f, _, _ in films for _ in range(6)})
+    for hot in (3, 20):
+        assert run(spark, films, involved, hot) == brute(films, involved)
+
+
+def test_busy_people_never_meet(spark):
+    """Above the limit, no join has the person as key on two sides that both hold films: sets of people meet bitmaps."""
+    films = spark.createDataFrame([(f"m{i}", 2000 + i % 5, i % 2 == 0) for i in range(60)], "imdb_id STRING, release_year INT, nominated_oscar BOOLEAN")
+    involved = spark.createDataFrame([(f"m{i}", -1 - (i + k) % 4, "director") for i in range(60) for k in range(3)], "movie_id STRING, person_id BIGINT, role STRING")
+    df = success_counts(films, involved, {"d": "director"}, hot=5)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_or_agg" in plan and "bitmap_construct_agg" in plan
+    few = success_counts(films, involved, {"d": "director"}, hot=500)
+    assert "bitmap_or_agg" not in few._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, few.collect()))
+
+
+@pytest.mark.parametrize("role", [None, "director", "cast"])
+@pytest.mark.parametrize("hot", [0, 8, 1000])
+def test_coworkers(spark, hot, role):
+    """One film holds a third of all rows, and some people work alone."""
+    rng = random.Random(2)
+    involved = [("big" if rng.random() < 0.33 else f"m{rng.randrange(80)}", rng.randrange(150), rng.choice(["director", "cast"])) for _ in range(500)]
+    involved += [("alone", 999, "director"), ("alone2", 999, "cast"), ("big", 5, "cast"), ("big", 5, "cast"), (None, 5, "cast"), ("m1", None, "director")]
+    crews = {}
+    for m, p, _ in involved:
+        if m is not None and p is not None:
+            crews.setdefault(m, set()).add(p)
+    want = {}
+    for m, p, r in involved:
+        if m is not None and p is not None and role in (None, r):
+            want[p] = want.get(p, set()) | crews[m]
+    df = spark.createDataFrame(involved, "movie_id STRING, person_id BIGINT, role STRING")
+    got = {r.person_id: r.coworkers for r in coworkers(df, role, hot=hot).collect()}
+    assert got == {p: len(s) - 1 for p, s in want.items()}
+
+
+def test_numbered(spark):
+    rng = random.Random(1)
+    rows = [(rng.randrange(9) if rng.random() < 0.9 else None, i) for i in range(300)]
+    got = numbered(spark.createDataFrame(rows, "a int, b int").repartition(7), ["a", "b"], "n").orderBy("n").collect()
+    assert [r.n for r in got] == list(range(300))
+    assert [(r.a, r.b) for r in got] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
