@@ -49,9 +49,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder and read back: the lineage ends there and survives the loss of executors."""
+    """Write once to the shared folder and read back: the lineage ends there and survives the loss of executors.
+
+    The shuffle files of the write go as soon as the table is there, instead of staying until the driver collects garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
