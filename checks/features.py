@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import film
@@ -12,12 +13,21 @@ from marquee.operators.history import coworkers, earlier_successes
 from marquee.operators.ordering import rank_in_group
 from marquee.operators.scores import rating_stats
 from marquee.plans import features
+from marquee.session import scratch_path
 
 DATASET = "SELECT * FROM ml_training_dataset"
 
 
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
 def dataset(spark, sf):
-    return features.ml_training_dataset(film.tables(spark, sf), flags=film.FLAGS)
+    """The feature table, stored by year when a query of the session first needs it."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _STORED:
+        computed = features.ml_training_dataset(film.tables(spark, sf), flags=film.FLAGS)
+        _STORED[key] = features.store_dataset(computed, scratch_path(spark, "features"))
+    return _STORED[key]
 
 
 @query(
@@ -183,3 +193,17 @@ def _split(first, last):
 
 for _name, (_first, _last) in film.SPLITS.items():
     query(f"split_{_name}", film_sql(f"{DATASET} WHERE release_year BETWEEN {_first} AND {_last}"))(_split(_first, _last))
+
+
+@query(
+    "next_year_films",
+    film_sql(
+        "SELECT f.imdb_id, f.release_year, f.label FROM ml_training_dataset f JOIN (SELECT release_year + 1 AS year FROM movies "
+        "WHERE won_oscar GROUP BY release_year HAVING count(*) >= 100 ORDER BY count(*) DESC, release_year LIMIT 2) y ON y.year = f.release_year"
+    ),
+)
+def _(spark, sf):
+    """The years are only known while the query runs: they prune the folders of the feature table as it is read."""
+    won = film.movies(spark, sf).filter("won_oscar").groupBy("release_year").agg(F.count(F.lit(1)).alias("n")).filter("n >= 100")
+    years = won.orderBy(F.col("n").desc(), "release_year").limit(2).select((F.col("release_year") + 1).alias("year"))
+    return dataset(spark, sf).join(F.broadcast(years), F.col("release_year") == F.col("year")).select("imdb_id", "release_year", "label")

@@ -12,7 +12,7 @@ from marquee.operators import profile, quality, relations
 from marquee.operators.dedupe import first_wins, last_wins, merge_objects, not_yet_loaded
 from marquee.operators.dimensions import extend_dimension
 from marquee.plans import collect, features, load
-from marquee.session import scratch_path
+from marquee.session import materialise, scratch_path
 from marquee.sources import pages as page_source
 from marquee.sources import payloads, tables, titles
 from marquee.streaming import ingest
@@ -285,6 +285,38 @@ def _(spark, sf):
     return bad.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "quarantine_keys",
+    """WITH k AS (SELECT l_orderkey, l_suppkey, l_quantity, count(*) OVER (PARTITION BY l_orderkey, l_suppkey) AS n FROM lineitem)
+       SELECT l_orderkey, l_suppkey, CASE WHEN n > 1 THEN 'unique:l_orderkey,l_suppkey' ELSE '' END || CASE WHEN n > 1 AND l_quantity > 40 THEN ' ' ELSE '' END
+       || CASE WHEN l_quantity > 40 THEN 'rule:quantity_range' ELSE '' END AS reasons, count(*) AS n FROM k WHERE n > 1 OR l_quantity > 40 GROUP BY ALL""",
+)
+def _(spark, sf):
+    """All rows of a key that comes twice, next to rows that break a rule."""
+    e = quality.Expectations(unique=[["l_orderkey", "l_suppkey"]], rules={"quantity_range": F.col("l_quantity") <= 40})
+    _, bad = quality.quarantine(table(spark, sf, "lineitem"), e)
+    reasons = F.array_join(F.reverse(F.array_sort("reasons")), " ")
+    return bad.groupBy("l_orderkey", "l_suppkey", reasons.alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "quarantine_parents",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') THEN 'parent:o_custkey' ELSE '' END AS lost,
+       CASE WHEN o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 30) THEN 'parent:o_orderkey' ELSE '' END AS unsold FROM orders
+       WHERE lost <> '' OR unsold <> ''""",
+)
+def _(spark, sf):
+    """Rows that refer to what is not there, by two references."""
+    parents = {
+        "customer": table(spark, sf, "customer").filter("c_mktsegment <> 'BUILDING'"),
+        "lineitem": table(spark, sf, "lineitem").filter("l_quantity > 30"),
+    }
+    e = quality.Expectations(parents={"o_custkey": ("customer", "c_custkey"), "o_orderkey": ("lineitem", "l_orderkey")})
+    _, bad = quality.quarantine(table(spark, sf, "orders"), e, parents)
+    named = lambda r: F.when(F.array_contains("reasons", r), r).otherwise("")
+    return bad.select("o_orderkey", "o_custkey", named("parent:o_custkey").alias("lost"), named("parent:o_orderkey").alias("unsold"))
+
+
 # --- the load -------------------------------------------------------------------------------------------------
 
 
@@ -562,7 +594,32 @@ def _(spark, sf):
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     root = scratch_path(spark, "ingest")
     ingest.ingest_available(spark, _outcomes(stream), f"{root}/results", f"{root}/rejects", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/results")
+    return ingest.read_results(spark, f"{root}/results", "id STRING, value DOUBLE, attempt BIGINT").drop("bucket")
+
+
+@query(
+    "stream_two_runs",
+    """WITH first AS (SELECT CAST(user_id AS VARCHAR) AS id, arg_min(value, event_id) AS value, min(event_id) AS attempt FROM events
+         WHERE event_type <> 'error' AND user_id % 3 = 0 GROUP BY user_id),
+       later AS (SELECT CAST(user_id AS VARCHAR) AS id, arg_min(value, event_id) AS value, min(event_id) AS attempt FROM events
+         WHERE event_type <> 'error' GROUP BY user_id)
+       SELECT id, value, attempt, 1 AS run FROM first UNION ALL SELECT id, value, attempt, 2 FROM later WHERE id NOT IN (SELECT id FROM first)""",
+)
+def _(spark, sf):
+    """Two runs through one checkpoint: the second takes the files that came after the first, and keeps earlier results."""
+    events = table(spark, sf, "events")
+    root = scratch_path(spark, "ingest")
+    arrived = lambda n, rows: rows.write.parquet(f"{root}/in/{n}")
+    stream = lambda: spark.readStream.schema(events.schema).parquet(f"{root}/in/*")
+    places = f"{root}/results", f"{root}/rejects", f"{root}/checkpoint"
+    arrived(1, events.filter(F.col("user_id") % 3 == 0))
+    ingest.ingest_available(spark, _outcomes(stream()), *places)
+    kept = "id STRING, value DOUBLE, attempt BIGINT"
+    first = materialise(ingest.read_results(spark, places[0], kept).select("id"))
+    arrived(2, events)
+    ingest.ingest_available(spark, _outcomes(stream()), *places)
+    every = ingest.read_results(spark, places[0], kept).drop("bucket")
+    return every.join(first.withColumn("run", F.lit(1)), "id", "left").withColumn("run", F.coalesce("run", F.lit(2)))
 
 
 @query(

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions.stats import zscore
 from marquee.operators.history import HOT_PERSON, success_counts
@@ -109,8 +110,21 @@ def ml_training_dataset(
     )
 
 
+def store_dataset(dataset: DataFrame, path: str) -> DataFrame:
+    """The feature table written once, a folder for each year, and read back. Years are cut into files of an even size, so
+    a year with a third of all films is not one file."""
+    dataset.hint("rebalance", "release_year").write.partitionBy("release_year").parquet(path)
+    return read_dataset(dataset.sparkSession, path, dataset.schema)
+
+
+def read_dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored feature table. A filter or join on release_year reads the folders of its years only."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def split(dataset: DataFrame, first: int, last: int) -> DataFrame:
-    """Films of a year range. Ranks, z-scores and history were computed on all films before."""
+    """Films of a year range. Ranks, z-scores and history were computed on all films before; of a stored feature table only
+    the years asked for are read."""
     return dataset.filter(F.col("release_year").between(first, last))
 
 
@@ -119,13 +133,16 @@ def order_dataset(dataset: DataFrame) -> DataFrame:
 
 
 def register_views(
-    spark: SparkSession, tables: Tables, splits: Mapping[str, tuple[int, int]] = SPLITS, **options
+    spark: SparkSession, tables: Tables, splits: Mapping[str, tuple[int, int]] = SPLITS, path: str | None = None, **options
 ) -> DataFrame:
-    """Temp views for the base tables, the statistics, the feature table and its splits."""
+    """Temp views for the base tables, the statistics, the feature table and its splits. With `path` the feature table is
+    stored there by year, and a split reads its years; without, each use of a view computes what it shows."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     rating_stats(tables["movies"], tables["rating_samples"]).createOrReplaceTempView("movie_rating_stats")
     dataset = ml_training_dataset(tables, **options)
+    if path is not None:
+        dataset = store_dataset(dataset, path)
     dataset.createOrReplaceTempView("ml_training_dataset")
     for name, (first, last) in splits.items():
         split(dataset, first, last).createOrReplaceTempView(name)

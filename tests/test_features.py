@@ -95,3 +95,21 @@ def test_year_filter_reaches_the_scan(spark, folder, dataset):
     movies.write.parquet(f"{folder}/movies")
     plan = split(with_year_zscores(spark.read.parquet(f"{folder}/movies")), 2000, 2001)._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(release_year), GreaterThanOrEqual(release_year,2000)" in plan
+
+
+def test_splits_read_their_years(spark, folder):
+    from pyspark.sql import functions as F
+
+    from marquee.plans.features import read_dataset, split, store_dataset
+
+    rows = spark.range(400).select(F.col("id").cast("string").alias("imdb_id"), F.when(F.col("id") % 7 > 0, 2000 + F.col("id") % 7).cast("int").alias("release_year"), F.lit(1).alias("label"))
+    stored = store_dataset(rows, f"{folder}/features")
+    assert stored.dtypes == rows.dtypes and stored.exceptAll(rows).isEmpty() and rows.exceptAll(stored).isEmpty()
+    part = split(read_dataset(spark, f"{folder}/features", rows.schema), 2002, 2003)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(release_year" in plan and "PushedFilters: []" in plan
+    assert {r.release_year for r in part.collect()} == {2002, 2003}
+    years = spark.createDataFrame([(2005, "x")], "year INT, why STRING").filter("why = 'x'")
+    joined = stored.join(F.broadcast(years), F.col("release_year") == F.col("year"))
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString().lower()
+    assert joined.count() == rows.filter("release_year = 2005").count()
