@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.operators.dedupe import last_wins, not_yet_loaded
 from marquee.session import materialise
@@ -12,6 +15,8 @@ from marquee.sources.catalogue import read_or_empty
 # Classes of failure kept apart in the rejects.
 REASONS = ["connection", "timeout", "data"]
 OTHER = "other"
+#: Folders that results are dealt into by key.
+BUCKETS = 64
 
 RESULT_DDL = "id STRING, scores ARRAY<DOUBLE>, attempt INT"
 OUTCOME_DDL = "id STRING, scores ARRAY<DOUBLE>, error STRING, attempt INT"
@@ -40,13 +45,27 @@ def split_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad.select("id", error_class(F.col("error")).alias("reason"), "attempt")
 
 
+def in_bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def read_results(spark: SparkSession, path: str, schema: T.StructType | str = RESULT_DDL) -> DataFrame:
+    """Results taken in so far, none if there are none yet, with the bucket of their key as last column: a filter on it
+    reads the folders of these buckets only."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return read_or_empty(spark, path, T.StructType([*fields.fields, T.StructField("bucket", T.IntegerType())]), "parquet")
+
+
 def ingest_available(
-    spark: SparkSession, outcomes: DataFrame, results: str, rejects: str, checkpoint: str, keys=("id",), order=("attempt",)
+    spark: SparkSession, outcomes: DataFrame, results: str, rejects: str, checkpoint: str, keys=("id",), order=("attempt",), buckets: int = BUCKETS
 ) -> None:
     """Take in all outcome files that arrived since the last run, and stop.
 
     `outcomes` is a streaming frame. A key that has a result keeps it. The checkpoint says which files are done;
     a batch that is repeated after a failure adds nothing twice, because its keys are then already there.
+
+    Results lie in a folder for each bucket of keys. A batch looks for its keys in the buckets they fall into, and reads no
+    other folder, so a small batch costs a small part of what was taken in before. `buckets` stays as it was at first.
     """
     result_schema = outcomes.drop("error").schema
 
@@ -54,8 +73,11 @@ def ingest_available(
         batch = batch.persist()
         try:
             good, bad = split_outcomes(batch)
-            existing = read_or_empty(spark, results, result_schema, "parquet")
-            not_yet_loaded(good, existing, list(keys), list(order)).write.mode("append").parquet(results)
+            good = good.withColumn("bucket", in_bucket(keys, buckets))
+            touched = [r["bucket"] for r in good.select("bucket").distinct().collect()]  # a number for each bucket at most
+            existing = read_results(spark, results, result_schema).filter(F.col("bucket").isin(touched))
+            fresh = not_yet_loaded(good, existing, list(keys), list(order))
+            fresh.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(results)
             bad.write.mode("overwrite").json(f"{rejects.rstrip('/')}/batch={batch_id}")
         finally:
             batch.unpersist()

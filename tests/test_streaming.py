@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from marquee.sources.catalogue import read_or_empty
 from marquee.streaming import ingest
 
@@ -34,6 +36,25 @@ def test_resume(spark, folder):
     assert [r["id"] for r in ingest.pending(keys, spark.read.parquet(f"{folder}/results")).collect()] == ["c"]
 
 
+def test_a_batch_reads_its_buckets_only(spark, folder):
+    """A file that cannot be read lies in a bucket that no key of the second batch falls into."""
+    put(folder, "1", [{"id": f"k{i}", "scores": [1.0], "attempt": 1} for i in range(300)])
+    run(spark, folder)
+    bucket = lambda k: spark.createDataFrame([(k,)], "id STRING").select(ingest.in_bucket(["id"])).first()[0]
+    mine = bucket("k5")
+    other = next(b for b in os.listdir(f"{folder}/results") if b.startswith("bucket=") and b != f"bucket={mine}")
+    with open(f"{folder}/results/{other}/part-broken.parquet", "wb") as f:
+        f.write(b"PAR1 broken PAR1")
+    put(folder, "2", [{"id": "k5", "scores": [7.0], "attempt": 2}])
+    stream = spark.readStream.schema(ingest.OUTCOME_DDL).json(f"{folder}/in")
+    ingest.ingest_available(spark, stream, f"{folder}/results", f"{folder}/rejects", f"{folder}/checkpoint")
+    os.remove(f"{folder}/results/{other}/part-broken.parquet")
+    results = ingest.read_results(spark, f"{folder}/results")
+    assert results.count() == 300 and results.filter("id = 'k5'").first()["scores"] == [1.0]
+    plan = results.filter(F.col("bucket").isin([mine]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+
+
 def test_retry(spark, folder):
     errors = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "id STRING")
     recovered = spark.createDataFrame([("c",)], "id STRING")
