@@ -112,10 +112,30 @@ def enforce(tables: dict[str, DataFrame], expected: dict[str, Expectations]) ->
         raise ExpectationFailed("; ".join(f"{r['table']}.{r['rule']}: {r['violations']}" for r in broken))
 
 
-def quarantine(df: DataFrame, e: Expectations) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the others with the rules they break."""
+def quarantine(df: DataFrame, e: Expectations, tables: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and the others with the rules they break, in the order required, rule, unique, parent.
+
+    All rows of a key that comes more than once go, as nothing says which is right; a key with a null part is no key. A row
+    goes if what it refers to is missing in `tables`, which the references of `e` need; a null reference is none. Keys that
+    come twice are counted before they meet the rows, and a hot one is a single row then. Repeated rows are one key twice.
+    Columns may have any names; one called reasons is replaced."""
+    marks = [f"_mark{i}" for i in range(len(e.unique) + len(e.parents))]
+    while any(c.lower().startswith(tuple(marks)) for c in df.columns if marks):
+        marks = [f"_{m}" for m in marks]
     tests = {f"required:{c}": F.col(c).isNull() for c in e.required}
     tests |= {f"rule:{r}": F.coalesce(~c, F.lit(False)) for r, c in e.rules.items()}
+    marked = df
+    for mark, key in zip(marks, e.unique):
+        twice = df.select(*[F.col(c).alias(f"{mark}_{i}") for i, c in enumerate(key)]).dropna()
+        names = twice.columns
+        twice = twice.groupBy(*names).agg(F.count(F.lit(1)).alias(mark)).filter(F.col(mark) > 1)
+        same = reduce(lambda a, b: a & b, [F.col(c) == F.col(n) for c, n in zip(key, names)])
+        marked = marked.join(twice, same, "left").drop(*names)
+        tests[f"unique:{','.join(key)}"] = F.col(mark).isNotNull()
+    for mark, (column, (parent, parent_key)) in zip(marks[len(e.unique) :], e.parents.items()):
+        known = tables[parent].select(F.col(parent_key).alias(mark)).dropna().distinct()
+        marked = marked.join(known, F.col(column) == F.col(mark), "left")
+        tests[f"parent:{column}"] = F.col(column).isNotNull() & F.col(mark).isNull()
     reasons = F.filter(F.array(*[F.when(t, F.lit(r)) for r, t in tests.items()]), lambda r: r.isNotNull())
-    marked = df.withColumn("reasons", reasons)
+    marked = marked.withColumn("reasons", reasons).drop(*marks)
     return marked.filter(F.size("reasons") == 0).drop("reasons"), marked.filter(F.size("reasons") > 0)
