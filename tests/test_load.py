@@ -216,6 +216,41 @@ def test_quarantine(spark):
     assert sorted(r["reasons"] for r in bad.collect()) == [["required:k"], ["rule:v_range"]]
 
 
+def test_quarantine_of_keys_and_parents(spark):
+    rows = [("a", 1, "x"), ("a", 1, "x"), ("b", 1, "y"), ("a", 2, None), (None, 1, "x"), (None, 1, "x"), ("c", 3, "gone")] + [("hot", 9, "x")] * 30
+    df = spark.createDataFrame(rows, "k STRING, v INT, p STRING")
+    parents = {"t": spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "id STRING")}
+    e = Expectations(required=["k"], unique=[["k", "v"]], rules={"v_range": F.col("v") < 9}, parents={"p": ("t", "id")})
+    good, bad = quarantine(df, e, parents)
+    assert sorted(map(str, good.collect())) == sorted(["Row(k='b', v=1, p='y')", "Row(k='a', v=2, p=None)"])
+    got = [(r.k, r.reasons) for r in bad.collect()]
+    want = [("a", ["unique:k,v"])] * 2 + [(None, ["required:k"])] * 2 + [("c", ["parent:p"])] + [("hot", ["rule:v_range", "unique:k,v"])] * 30
+    assert sorted(map(str, got)) == sorted(map(str, want)) and good.columns == df.columns
+    empty_good, empty_bad = quarantine(df.filter("false"), e, parents)
+    assert empty_good.count() == empty_bad.count() == 0
+
+
+def test_two_publishers(spark, folder):
+    """All publishers of one moment get a version of their own, in the order in which they come."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(lambda i: sinks.commit(spark, folder, f"run-{i}"), range(16)))
+    assert sorted(versions) == list(range(1, 17))
+    assert sinks.current_run(spark, folder) == f"run-{versions.index(16)}"
+
+
+def test_json_is_replaced_whole(spark, folder):
+    frame = lambda n: spark.range(n).withColumn("v", F.lit(n))
+    path = f"{folder}/json"
+    assert sinks.read_json(spark, path, "id LONG, v INT") is None
+    sinks.write_json(frame(20), path)
+    before = sinks.read_json(spark, path, "id LONG, v INT")  # a reader that has begun
+    sinks.write_json(frame(3).repartition(3), path)
+    assert before.count() == 20 and {r.v for r in before.collect()} == {20}
+    assert {r.v for r in sinks.read_json(spark, path, "id LONG, v INT").collect()} == {3}
+
+
 def test_catalogue_round_trip(spark, inputs, folder):
     raw = inputs[0]
     sinks.write_catalogue(raw, f"{folder}/out")
