@@ -28,8 +28,10 @@ from marquee.session import materialise
 SHINGLE, SEED, THRESHOLD = 3, 42, 3
 #: Bits and information bits of a Golay code, its covering radius, and its generator polynomial (fixed value).
 BITS, WORD, RADIUS, GENERATOR = 23, 12, 3, 0xC75
-#: Homes and replicas compared with each other in one group; a busier anchor is split into several.
+#: Fingerprints with one home that are compared with its replicas in one place; a busier anchor is split into several.
 BLOCK = 4_096
+#: Bits of a place below the anchor, and below the block of homes.
+_ANCHOR, _HOMES = 39, 20
 #: Shingles hashed at a time.
 CHUNK = 100_000
 
@@ -113,15 +115,18 @@ def _prints(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), pa.array(home)], ["doc_id", "print", "home"])
 
 
-def _replicas(occupied, threshold: int):
+def _replicas(threshold: int):
+    """(at, print): a row for each anchor in reach. `at` is the anchor, then the block of homes and the block of replicas it
+    is dealt to, 0 at first, then a bit that tells replicas from homes, so that homes come first."""
+
     def run(batches):
-        bits = np.unpackbits(np.frombuffer(occupied.value, np.uint8), bitorder="little")
         for whole in batches:
             for k in range(0, whole.num_rows, 2_000):
                 prints = whole.column(0).slice(k, 2_000).to_numpy(zero_copy_only=False).view(np.uint64)
                 own, anchor, home = reach(prints, threshold)
-                use = bits[anchor] == 1
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[use]), pa.array(prints[own[use]].view(np.int64)), pa.array(home[use])], ["anchor", "print", "home"])
+                own, anchor = np.append(own, own[home]), np.append(anchor, anchor[home]).astype(np.int64) << _ANCHOR
+                anchor[: len(home)] |= 1  # a home is among its own replicas
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(prints[own].view(np.int64))], ["at", "print"])
 
     return run
 
@@ -143,42 +148,35 @@ def forest(homes: np.ndarray, replicas: np.ndarray, threshold: int) -> list[tupl
 
 
 def _compare(threshold: int):
-    """Links of each (anchor, i, j), whose rows come together; a group has at most some BLOCK homes and replicas."""
-
-    def linked(parts: list[pa.Table]):
-        table = pa.concat_tables(parts).combine_chunks()
-        keys = np.stack([table[c].to_numpy().astype(np.int64) for c in ("anchor", "i", "j")])
-        prints, home = table["print"].to_numpy().view(np.uint64), table["home"].to_numpy(zero_copy_only=False)
-        edges = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0)))
-        links: list[tuple[int, int]] = []
-        for a, b in zip(edges, np.append(edges[1:], len(prints))):
-            mine = home[a:b]
-            if b - a > 1 and mine.any() and not mine.all():
-                links += forest(prints[a:b][mine], prints[a:b][~mine], threshold)
-        u = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(u[:, 0]), pa.array(u[:, 1])], ["a", "b"])
+    """Links at each place, whose rows come sorted. Homes of one place are held, replicas go by."""
 
     def run(batches):
-        held: list[pa.Table] = []
+        place, held = -1, np.empty(0, np.uint64)
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not len(table):
+            at, prints = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            if not len(at):
                 continue
-            last = [table[c][-1].as_py() for c in ("anchor", "i", "j")]
-            same = np.ones(len(table), bool)
-            for c, v in zip(("anchor", "i", "j"), last):
-                same &= table[c].to_numpy() == v
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0  # the last group may go on
-            before = held and [held[-1][c][-1].as_py() for c in ("anchor", "i", "j")] != last
-            if cut:
-                yield from linked([*held, table.slice(0, cut)])
-                held = []
-            elif before:
-                yield from linked(held)
-                held = []
-            held.append(table.slice(cut))
-        if held:
-            yield from linked(held)
+            prints, home, at = prints.view(np.uint64), at & 1 == 0, at >> 1
+            edges = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            ends = np.append(edges[1:], len(at))
+            busy = np.logical_or.reduceat(home, edges)
+            busy[0] |= at[0] == place and len(held) > 0
+            links: list[tuple[int, int]] = []
+            for k in np.flatnonzero(busy).tolist():
+                a, b = edges[k], ends[k]
+                mine = prints[a:b][home[a:b]]
+                if at[a] == place:
+                    mine = np.append(held, mine)
+                theirs = prints[a:b][~home[a:b]]
+                if len(theirs):
+                    links += forest(mine, theirs, threshold)
+                if b == len(at):
+                    held = mine
+            if not busy[-1]:
+                held = held[:0]
+            place = at[-1]
+            u = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(u[:, 0]), pa.array(u[:, 1])], ["a", "b"])
 
     return run
 
@@ -186,28 +184,21 @@ def _compare(threshold: int):
 def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(a, b): links that connect all fingerprints at `threshold` or fewer differing bits. `prints`: distinct print, home.
 
-    A bit for each of the 2^24 anchors, 2 MB at any size of the input, says which are homes; replicas go nowhere else. An
-    anchor with more than BLOCK rows is split: its homes and its replicas are dealt into blocks by hash, and every block of
-    homes meets every block of replicas in a group of its own. What leaves a group is a forest, never all its pairs."""
-    spark = prints.sparkSession
-    one = F.col("home").cast("long") + 1
-    rows = prints.groupBy(F.bitmap_bucket_number(one).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(one)).alias("bits"))
-    occupied = bytearray(1 << 2 * WORD - 3)
-    for bucket, bits in rows.collect():  # 512 rows at most
-        occupied[(bucket - 1) * len(bits) : bucket * len(bits)] = bits
-    replicas = arrow(prints.select("print"), _replicas(spark.sparkContext.broadcast(bytes(occupied)), threshold), "anchor int, print long, home boolean")
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    busy = replicas.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if("home").alias("h")).where(F.col("n") > BLOCK)
-    busy = materialise(busy.select(F.col("anchor").alias("at"), blocks(F.col("h")).alias("hs"), blocks(F.col("n")).alias("rs")))
-    split = replicas.join(broadcast_if_small(busy), F.col("anchor") == F.col("at"), "left")
-    hs, rs = (F.coalesce(c, F.lit(1)) for c in ("hs", "rs"))
-    i, j = F.pmod(F.hash("print"), hs), F.pmod(F.hash("print"), rs)
-    place = lambda home, i, j: F.struct(F.lit(home).alias("home"), i.alias("i"), j.alias("j"))
-    as_replica = F.transform(F.sequence(F.lit(0), hs - 1), lambda k: place(False, k, j))
-    as_home = F.transform(F.sequence(F.lit(0), rs - 1), lambda k: place(True, i, k))
-    dealt = split.select("anchor", "print", F.inline(F.when(F.col("home"), F.concat(as_replica, as_home)).otherwise(as_replica)))
-    key = ["anchor", "i", "j"]
-    return arrow(dealt.select(*key, "print", "home").repartition(*key).sortWithinPartitions(*key), _compare(threshold), "a long, b long")
+    Every fingerprint gives some 300 rows of two numbers, whatever the others are. Where more than BLOCK fingerprints have
+    one home, they are dealt into blocks by hash, replicas there as well, and every block of homes meets every block of
+    replicas in a place of its own. What leaves a place is a forest, never all its pairs."""
+    rows = arrow(prints.select("print"), _replicas(threshold), "at long, print long")
+    busy = prints.groupBy(F.col("home").cast("long").alias("anchor")).agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    busy = materialise(busy.select("anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    if not busy.isEmpty():
+        split = rows.join(broadcast_if_small(busy), F.shiftright("at", _ANCHOR) == F.col("anchor"), "left")
+        own = F.pmod(F.hash("print"), F.col("blocks")).cast("long")
+        every = F.sequence(F.lit(0), F.col("blocks") - 1)
+        as_home = F.transform(every, lambda j: F.col("at") + F.shiftleft(own, _HOMES) + F.shiftleft(j.cast("long"), 1))
+        as_replica = F.transform(every, lambda i: F.col("at") + F.shiftleft(i.cast("long"), _HOMES) + F.shiftleft(own, 1))
+        places = F.when(F.col("blocks").isNull(), F.array("at")).when(F.col("at").bitwiseAND(1) == 0, as_home).otherwise(as_replica)
+        rows = split.select(F.explode(places).alias("at"), "print")
+    return arrow(rows.repartition(F.shiftright("at", 1)).sortWithinPartitions("at"), _compare(threshold), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
