@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions import stats
-from marquee.operators.ordering import with_running_totals
 
+# Columns of a feature row, in order.
 FEATURE_COLUMNS = [
     "film",
     "n_reviews",
@@ -28,8 +28,10 @@ FEATURE_COLUMNS = [
     "p_red_0_39",
     "entropy_gyr_bits",
 ]
+# Fixed value: what turns a median deviation into a standard deviation of a normal distribution.
 MAD_SCALE = 1.4826
-LONG_LIST = 1_000
+
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -72,29 +74,51 @@ def check_cut(share: float) -> float:
     return share
 
 
-def score_features(
-    samples: DataFrame, film: str = "film", score: str = "score", cuts=(0.10, 0.20), long_list: int = LONG_LIST
-) -> DataFrame:
+def score_features(samples: DataFrame, film: str = "film", score: str = "score", cuts=(0.10, 0.20)) -> DataFrame:
     """The full feature row of each film.
 
-    Scores are first counted per film and value. Up to `long_list` distinct values fit an array, and one pass over it
-    yields everything; whole-number scores never have more than 101. A film with more distinct values, which needs
-    scores with fractions, is kept as rows and cut into slots of the score range.
+    Scores are counted per film and value. A value knows how many scores come before it, so quantiles and trimmed means are
+    sums over rows, for short and long lists alike, and no list is ever held. Whole scores have 101 values at most, so a film
+    is a few rows; the order of fractional ones is cut into slots, the whole points of the range, and a film with a third of
+    all scores is spread over them.
     """
     for share in cuts:
         check_cut(share)
-    integral = isinstance(samples.schema[score].dataType, _INTEGRAL)
     cleaned = samples.select(F.col(film).alias("film"), stats.clean_score(F.col(score)).alias("v"))
     counted = cleaned.groupBy("film", "v").agg(F.count("v").alias("n"))
-    if integral:
-        return _from_arrays(counted, cuts).select(*FEATURE_COLUMNS)
-    sizes = counted.groupBy("film").agg(F.count("v").alias("values"))
-    long_films = sizes.filter(F.col("values") > long_list).select("film")
-    if long_films.isEmpty():
-        return _from_arrays(counted, cuts).select(*FEATURE_COLUMNS)
-    short = counted.join(long_films, "film", "left_anti")
-    rows = counted.join(long_films, "film", "left_semi")
-    return _from_arrays(short, cuts).select(*FEATURE_COLUMNS).unionByName(_from_rows(rows, cuts).select(*FEATURE_COLUMNS))
+    whole = isinstance(samples.schema[score].dataType, _INTEGRAL)
+    if whole:
+        counted = counted.repartition("film")  # everything below then stays where it is
+    known, v, n, total = counted.filter(F.col("v").isNotNull()), F.col("v"), F.col("n"), F.col("total")
+    orders = _ranked(known, whole).groupBy("film").agg(
+        _quantile_of(0.5, total).alias("median"),
+        (_quantile_of(0.75, total) - _quantile_of(0.25, total)).alias("iqr"),
+        _trimmed_of(cuts[0], total).alias("trimmed_mean_10"),
+        _trimmed_of(cuts[1], total).alias("trimmed_mean_20"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+    )
+    centred = counted.join(orders.select("film", "median", "mean"), "film", "left").select(
+        "film", "n", F.abs(v - F.col("median")).alias("v"), (v - F.col("mean")).alias("c"), v.alias("x")
+    )
+    spread = centred.filter(v.isNotNull()).groupBy("film", "v").agg(F.sum("n").alias("n"))
+    mads = _ranked(spread, whole).groupBy("film").agg((F.lit(MAD_SCALE) * _quantile_of(0.5, total)).alias("mad"))
+    size = F.sum(n)
+    moment = lambda k: stats.ratio(F.sum(n * F.pow(F.col("c"), F.lit(k))), size).alias(f"m{k}")
+    shares = [stats.ratio(F.sum(F.when(t, n).otherwise(0)), size).alias(name) for name, t in _bucket_tests(F.col("x")).items()]
+    central = centred.groupBy("film").agg(
+        size.alias("n_reviews"), moment(2), moment(3), moment(4), (F.min("x") == F.max("x")).alias("constant"), *shares
+    )
+    central = central.withColumn("m2", F.when(F.col("constant"), F.lit(0.0)).otherwise(F.col("m2")))  # whatever rounding says
+    wide = central.join(orders, "film", "left").join(mads, "film", "left")
+    m2, size = F.col("m2"), F.col("n_reviews")
+    g1 = F.when(m2 > 0, F.col("m3") / F.pow(m2, F.lit(1.5)))
+    g2 = F.when(m2 > 0, F.col("m4") / (m2 * m2) - 3)
+    out = (
+        wide.withColumn("std", stats.sample_std_or_zero(size, F.sqrt(stats.ratio(m2 * size, size - 1))))
+        .withColumn("skewness", stats.corrected_skewness(size, g1))
+        .withColumn("excess_kurtosis", stats.guarded_kurtosis(size, g2))
+    )
+    return _with_entropy(out).select(*FEATURE_COLUMNS)
 
 
 def features_from_lists(lists: DataFrame, film: str = "film", scores: str = "scores") -> DataFrame:
@@ -123,98 +147,20 @@ def _with_entropy(df: DataFrame) -> DataFrame:
     return df.withColumn("entropy_gyr_bits", stats.entropy_bits(shares))
 
 
-# --- an array of (value, count) per film ----------------------------------------------------------------------
-
-
-def _sum_over(h: Column, term) -> Column:
-    return F.aggregate(h, F.lit(0.0), lambda acc, e: acc + term(e))
-
-
-def _value_at(h: Column, rank: Column) -> Column:
-    """Value at a 0-based rank of the sorted (value, count, before) array."""
-    hit = F.filter(h, lambda e: (e["before"] <= rank) & (rank < e["before"] + e["n"]))
-    return F.get(hit, F.lit(0))["v"]
-
-
-def _quantile_in(h: Column, n: Column, share: float) -> Column:
-    at = F.lit(share) * (n - 1)
-    low, high = _value_at(h, F.floor(at)), _value_at(h, F.ceil(at))
-    return low + (high - low) * (at - F.floor(at))
-
-
-def _with_before(h: Column) -> Column:
-    """Adds the number of scores before each entry."""
-    start = F.struct(
-        F.array().cast("array<struct<v:double,n:bigint,before:bigint>>").alias("out"), F.lit(0).cast("long").alias("seen")
-    )
-
-    def add(acc, e):
-        entry = F.struct(e["v"].alias("v"), e["n"].alias("n"), acc["seen"].alias("before"))
-        return F.struct(F.concat(acc["out"], F.array(entry)).alias("out"), (acc["seen"] + e["n"]).alias("seen"))
-
-    return F.aggregate(h, start, add, lambda acc: acc["out"])
-
-
-def _trimmed_in(h: Column, n: Column, share: float) -> Column:
-    k = F.floor(n * F.lit(share))
-    kept = lambda e: F.greatest(F.lit(0), F.least(e["before"] + e["n"], n - k) - F.greatest(e["before"], k))
-    return stats.ratio(_sum_over(h, lambda e: e["v"] * kept(e)), n - 2 * k)
-
-
-def _from_arrays(counted: DataFrame, cuts) -> DataFrame:
-    entries = F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n")))
-    per_film = counted.groupBy("film").agg(F.array_sort(entries).alias("h"), F.sum("n").alias("n_reviews"))
-    n, h = F.col("n_reviews"), F.col("h")
-    base = per_film.select(
-        "film",
-        "n_reviews",
-        _with_before(h).alias("h"),
-        stats.ratio(_sum_over(h, lambda e: e["v"] * e["n"]), n).alias("mean"),
-    )
-    mean = F.col("mean")
-    power = lambda k: stats.ratio(_sum_over(h, lambda e: e["n"] * F.pow(e["v"] - mean, F.lit(k))), n)
-    moments = base.select(
-        "*",
-        power(2).alias("m2"),
-        power(3).alias("m3"),
-        power(4).alias("m4"),
-        _quantile_in(h, n, 0.5).alias("median"),
-    )
-    median = F.col("median")
-    spread = F.array_sort(F.transform(h, lambda e: F.struct(F.abs(e["v"] - median).alias("v"), e["n"].alias("n"))))
-    with_spread = moments.withColumn("d", _with_before(spread))
-    m2 = F.when(F.size(h) == 1, F.lit(0.0)).otherwise(F.col("m2"))  # equal scores have no spread, whatever rounding says
-    g1 = F.when(m2 > 0, F.col("m3") / F.pow(m2, F.lit(1.5)))
-    g2 = F.when(m2 > 0, F.col("m4") / (m2 * m2) - 3)
-    share = lambda test: stats.ratio(_sum_over(h, lambda e: F.when(test(e["v"]), e["n"]).otherwise(0)), n)
-    tests = list(_bucket_tests(F.lit(0.0)))
-    return _with_entropy(
-        with_spread.select(
-            "film",
-            "n_reviews",
-            "mean",
-            "median",
-            _trimmed_in(h, n, cuts[0]).alias("trimmed_mean_10"),
-            _trimmed_in(h, n, cuts[1]).alias("trimmed_mean_20"),
-            stats.sample_std_or_zero(n, F.sqrt(stats.ratio(m2 * n, n - 1))).alias("std"),
-            (_quantile_in(h, n, 0.75) - _quantile_in(h, n, 0.25)).alias("iqr"),
-            (F.lit(MAD_SCALE) * _quantile_in(F.col("d"), n, 0.5)).alias("mad"),
-            stats.corrected_skewness(n, g1).alias("skewness"),
-            stats.guarded_kurtosis(n, g2).alias("excess_kurtosis"),
-            *[share(lambda v, t=t: _bucket_tests(v)[t]).alias(t) for t in tests],
-        )
-    )
-
-
-# --- long lists of fractional scores: one row per (film, value) ------------------------------------------------
-
-
-def _ranked(counted: DataFrame) -> DataFrame:
-    """Adds `before` and `total`; the slots are the whole points of the 0..100 range."""
+def _ranked(counted: DataFrame, whole: bool) -> DataFrame:
+    """Adds `before`, the scores of the film below a value, and `total`, all of them."""
+    if whole:
+        film = Window.partitionBy("film")
+        below = film.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        return counted.select("*", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("before"), F.sum("n").over(film).alias("total"))
     slotted = counted.withColumn("_slot", F.floor("v").cast("int"))
-    ranked = with_running_totals(slotted, {"before": "n"}, [F.col("v")], ["film"])
-    totals = counted.groupBy("film").agg(F.sum("n").alias("total"))
-    return ranked.join(totals, "film")
+    film = Window.partitionBy("film")
+    earlier = film.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    sums = slotted.groupBy("film", "_slot").agg(F.sum("n").alias("_n"))
+    starts = sums.select("film", "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"), F.sum("_n").over(film).alias("total"))
+    within = Window.partitionBy("film", "_slot").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    local = slotted.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return local.join(starts, ["film", "_slot"]).withColumn("before", F.col("before") + F.col("_start")).drop("_slot", "_start")
 
 
 def _value_at_rank(rank: Column) -> Column:
@@ -233,39 +179,3 @@ def _trimmed_of(share: float, total: Column) -> Column:
     before, n = F.col("before"), F.col("n")
     kept = F.greatest(F.lit(0), F.least(before + n, total - k) - F.greatest(before, k))
     return stats.ratio(F.sum(F.col("v") * kept), F.sum(kept))
-
-
-def _from_rows(counted: DataFrame, cuts) -> DataFrame:
-    known = counted.filter(F.col("v").isNotNull())
-    v, n, total = F.col("v"), F.col("n"), F.col("total")
-    ranked = _ranked(known)
-    orders = ranked.groupBy("film").agg(
-        _quantile_of(0.5, total).alias("median"),
-        (_quantile_of(0.75, total) - _quantile_of(0.25, total)).alias("iqr"),
-        _trimmed_of(cuts[0], total).alias("trimmed_mean_10"),
-        _trimmed_of(cuts[1], total).alias("trimmed_mean_20"),
-        (F.sum(v * n) / F.sum(n)).alias("mean"),
-    )
-    deviations = (
-        known.join(orders.select("film", "median", "mean"), "film")
-        .select("film", "n", F.abs(v - F.col("median")).alias("v"), (v - F.col("mean")).alias("c"), v.alias("x"))
-    )
-    spread = deviations.groupBy("film", "v").agg(F.sum("n").alias("n"))
-    mads = _ranked(spread).groupBy("film").agg((F.lit(MAD_SCALE) * _quantile_of(0.5, total)).alias("mad"))
-    moment = lambda k: (F.sum(n * F.pow(F.col("c"), F.lit(k))) / F.sum(n)).alias(f"m{k}")
-    shares = [
-        (F.sum(F.when(t, n).otherwise(0)) / F.sum(n)).alias(name) for name, t in _bucket_tests(F.col("x")).items()
-    ]
-    constant = (F.min("x") == F.max("x")).alias("constant")
-    central = deviations.groupBy("film").agg(moment(2), moment(3), moment(4), constant, *shares)
-    central = central.withColumn("m2", F.when(F.col("constant"), F.lit(0.0)).otherwise(F.col("m2")))
-    sizes = counted.groupBy("film").agg(F.sum("n").alias("n_reviews"))
-    wide = sizes.join(orders, "film", "left").join(mads, "film", "left").join(central, "film", "left")
-    m2, size = F.col("m2"), F.col("n_reviews")
-    g1 = F.when(m2 > 0, F.col("m3") / F.pow(m2, F.lit(1.5)))
-    g2 = F.when(m2 > 0, F.col("m4") / (m2 * m2) - 3)
-    return _with_entropy(
-        wide.withColumn("std", stats.sample_std_or_zero(size, F.sqrt(stats.ratio(m2 * size, size - 1))))
-        .withColumn("skewness", stats.corrected_skewness(size, g1))
-        .withColumn("excess_kurtosis", stats.guarded_kurtosis(size, g2))
-    )

@@ -80,14 +80,14 @@ def check(got, cases):
                 assert row[name] == pytest.approx(value, abs=1e-9), (row["film"], name)
 
 
-@pytest.mark.parametrize("ddl, long_list", [("INT", 1000), ("DOUBLE", 1000), ("DOUBLE", 3), ("DOUBLE", 0)])
-def test_features_match_formulas(spark, ddl, long_list):
+@pytest.mark.parametrize("ddl", ["INT", "DOUBLE"])
+def test_features_match_formulas(spark, ddl):
     cases = edge_cases(ddl == "INT")
     if ddl == "DOUBLE":
         cases = {k: [None if v is None else float(v) for v in vs] for k, vs in cases.items()}
     rows = [(film, v) for film, vs in cases.items() for v in vs]
     df = spark.createDataFrame(rows, f"film STRING, score {ddl}")
-    check(score_features(df, long_list=long_list).collect(), cases)
+    check(score_features(df).collect(), cases)
 
 
 def test_bad_cut(spark):
@@ -111,11 +111,10 @@ def test_rating_stats_keeps_films_without_samples(spark):
     assert got["b"]["n_samples"] == 0 and got["b"]["mean_score"] is None
 
 
-@pytest.mark.parametrize("long_list", [0, 1000])
-def test_equal_fractions_have_no_spread(spark, long_list):
+def test_equal_fractions_have_no_spread(spark):
     cases = {"tenths": [0.1] * 3, "thirds": [100 / 3] * 7, "one": [0.7], "mixed": [0.1, 0.1, 0.2, 0.7]}
     rows = [(k, v) for k, vs in cases.items() for v in vs]
-    got = score_features(spark.createDataFrame(rows, "film STRING, score DOUBLE"), long_list=long_list).collect()
+    got = score_features(spark.createDataFrame(rows, "film STRING, score DOUBLE")).collect()
     assert len(got) == len(cases)
     for row in got:
         want = expected(cases[row["film"]])
