@@ -8,6 +8,7 @@ from checks import film
 from checks.features import dataset
 from checks.film import film_sql
 from checks.registry import query, rounded
+from marquee.operators import planned
 from marquee.plans import train
 from marquee.schemas import BASELINE_FEATURES, FINAL_FEATURES
 from marquee.session import materialise
@@ -95,3 +96,31 @@ def _(spark, sf):
         "boosted": (lambda: train.boosted(5, 3, 0.05), train.positive_weights),
     }
     return train.compare_models(part("train"), part("validation"), models, BASELINE_FEATURES)
+
+
+_FOLDS = planned.forward_folds(1995, 2000, 1, 3)
+_FOLD_ROWS = ", ".join(f"({k}, {a}, {b}, {c}, {d})" for k, ((a, b), (c, d)) in enumerate(_FOLDS, 1))
+
+
+@query(
+    "forward_cv",
+    film_sql("").rstrip()
+    + f", folds(fold, a, b, c, d) AS (VALUES {_FOLD_ROWS}) "
+    "SELECT fold, count(*) FILTER (release_year BETWEEN c AND d) AS n, CAST(sum(label) FILTER (release_year BETWEEN c AND d) AS BIGINT) AS positives, "
+    "count(*) FILTER (release_year BETWEEN a AND b) AS train_n, CAST(sum(label) FILTER (release_year BETWEEN a AND b) AS BIGINT) AS train_positives, "
+    "true AS area_as_in_sql, true AS area_in_range, true AS scores_in_range FROM ml_training_dataset, folds GROUP BY fold",
+)
+def _(spark, sf):
+    """Three folds that only look forward. The area of each fold is compared with a rank sum in SQL over the same scores."""
+    scores, found = train.forward_validation(dataset(spark, sf), _FOLDS, "logistic", BASELINE_FEATURES)
+    by_sql = spark.sql(
+        "SELECT fold AS f, (sum(if(label = 1, r, 0)) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * (count(*) - sum(label))) AS area, "
+        "min(prob) >= 0 AND max(prob) <= 1 AS bounded FROM (SELECT *, rank() OVER (PARTITION BY fold ORDER BY prob) "
+        "+ (count(*) OVER (PARTITION BY fold, prob) - 1) / 2 AS r FROM {scores}) GROUP BY fold",
+        scores=scores,
+    )
+    joined = found.join(by_sql, F.col("fold") == F.col("f"))
+    return joined.select(
+        "fold", "n", "positives", "train_n", "train_positives", (F.abs(F.col("roc_auc") - F.col("area")) < 1e-9).alias("area_as_in_sql"),
+        F.col("roc_auc").between(0, 1).alias("area_in_range"), F.col("bounded").alias("scores_in_range"),
+    )

@@ -64,6 +64,20 @@ def roc_auc(scored: DataFrame, score: str, label: str = "label", parts: int | No
     )
 
 
+def scores_by_group(scored: DataFrame, by: str, score: str, label: str = "label", parts: int | None = None) -> DataFrame:
+    """(by, n, positives, roc_auc) of every group, all in one pass: scores are counted, cut into slots of the score, and
+    ranked within group and slot, so that a group with a third of all rows is spread as well."""
+    rows = scored.select(F.col(by).alias("_by"), F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("y"))
+    groups = rows.groupBy("_by", "score").agg(F.sum("y").alias("pos"), (F.count(F.lit(1)) - F.sum("y")).alias("neg"))
+    slotted = with_slot(groups, "score", split_points(rows, "score", parts), "_slot", descending=True)
+    ranked = with_running_totals(slotted, {"pos_above": "pos"}, [F.col("score").desc()], ["_by"], bounded_slots=True)
+    wins = F.sum(F.col("neg").cast("double") * (F.col("pos_above") + F.col("pos") / 2))
+    positives, negatives = F.sum("pos"), F.sum("neg")
+    return ranked.groupBy(F.col("_by").alias(by)).agg(
+        (positives + negatives).alias("n"), positives.alias("positives"), ratio(wins, positives.cast("double") * negatives).alias("roc_auc")
+    )
+
+
 def _zero_ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(ratio(part, whole), F.lit(0.0))
 

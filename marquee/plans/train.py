@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -167,6 +168,41 @@ def compare_models(
     return out
 
 
+def expand_folds(df: DataFrame, folds: Sequence[tuple[tuple[int, int], tuple[int, int]]], year: str = "release_year") -> DataFrame:
+    """Every row once for each fold it belongs to, with `fold` (from 1) and `part`, train or test. A row without a year is in
+    none."""
+    places = [
+        F.when(F.col(year).between(*years), F.struct(F.lit(k).alias("fold"), F.lit(part).alias("part")))
+        for k, fold in enumerate(folds, 1)
+        for part, years in zip(("train", "test"), fold)
+    ]
+    return df.select("*", F.inline(F.filter(F.array(*places), lambda p: p.isNotNull())))
+
+
+def forward_validation(
+    dataset: DataFrame,
+    folds: Sequence[tuple[tuple[int, int], tuple[int, int]]],
+    make: Callable[[], object] | str = boosted,
+    columns: Sequence[str] = FINAL_FEATURES,
+    weights: Callable[[DataFrame], DataFrame] = balanced_weights,
+) -> tuple[DataFrame, DataFrame]:
+    """(scores, metrics) of a model trained on the past and tested on the years after it, fold by fold.
+
+    `scores`: fold, imdb_id, label, prob of every test row, written once. `metrics`: fold, n, positives, roc_auc, train_n and
+    train_positives, from one aggregate over all scores and one over the expanded rows. `dataset` is a stored feature table
+    (`features.store_dataset`), so a fold reads the folders of its own years; a fold without both classes in its training
+    years cannot be fitted and is an error."""
+    parts = []
+    for k, (past, ahead) in enumerate(folds, 1):
+        within = lambda years: dataset.filter(F.col("release_year").between(*years))
+        fitted = fit(within(past), make, columns, weights)
+        parts.append(fitted.score(within(ahead)).select(F.lit(k).alias("fold"), "imdb_id", "label", "prob"))
+    scores = materialise(reduce(DataFrame.unionByName, parts))
+    trained = expand_folds(dataset.select("release_year", "label"), folds).filter(F.col("part") == "train")
+    sizes = trained.groupBy("fold").agg(F.count(F.lit(1)).alias("train_n"), F.sum("label").alias("train_positives"))
+    return scores, metrics.scores_by_group(scores, "fold", "prob").join(sizes, "fold")
+
+
 @dataclass(frozen=True)
 class Outcome:
     threshold: float | None

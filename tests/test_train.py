@@ -85,3 +85,37 @@ def test_tree_models(spark, data):
     fitted = train.fit(part, models["boosted"][0], COLUMNS)
     table = fitted.importance(spark).collect()
     assert sum(r["importance"] for r in table) == pytest.approx(1.0) and table[-1]["feature"] == "flat"
+
+
+def test_forward_validation(spark, folder):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from marquee.operators.planned import forward_folds
+    from marquee.plans.features import store_dataset
+    from marquee.plans.train import expand_folds, forward_validation
+
+    rng = np.random.default_rng(4)
+    rows = [(f"m{i}", 2000 + i % 6, float(x := rng.normal()), int(x + rng.normal() > 0.5)) for i in range(600)]
+    data = store_dataset(spark.createDataFrame(rows, "imdb_id STRING, release_year INT, a DOUBLE, label INT"), f"{folder}/f")
+    folds = forward_folds(2000, 2005, 1, 3)
+    assert folds == [((2000, 2002), (2003, 2003)), ((2000, 2003), (2004, 2004)), ((2000, 2004), (2005, 2005))]
+    places = {(r.fold, r.part): r.n for r in expand_folds(data, folds).groupBy("fold", "part").agg(F.count("*").alias("n")).collect()}
+    assert places == {(k, p): n for k in (1, 2, 3) for p, n in (("train", 100 * (k + 2)), ("test", 100))}
+    scores, found = forward_validation(data, folds, "logistic", ["a"])
+    kept = {}
+    for r in scores.collect():
+        kept.setdefault(r.fold, []).append((r.prob, r.label))
+    for r in found.collect():
+        pos, neg = [p for p, y in kept[r.fold] if y], [p for p, y in kept[r.fold] if not y]
+        area = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / (len(pos) * len(neg))
+        assert r.roc_auc == pytest.approx(area) and area > 0.6 and (r.n, r.positives) == (100, len(pos))
+        assert r.train_n == 100 * (r.fold + 2)
+
+
+def test_areas_by_group(spark):
+    from marquee.operators.metrics import scores_by_group
+
+    rows = [("a", 0.5, 1), ("a", 0.5, 0), ("a", 0.2, 0), ("b", 0.1, 1), ("b", 0.9, 0), ("c", 0.3, 1)]
+    got = scores_by_group(spark.createDataFrame(rows, "g STRING, prob DOUBLE, label INT"), "g", "prob").collect()
+    assert {r.g: (r.n, r.positives, r.roc_auc) for r in got} == {"a": (3, 1, 0.75), "b": (2, 1, 0.0), "c": (1, 1, None)}
