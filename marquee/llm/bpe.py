@@ -39,6 +39,23 @@ def printable_bytes() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=1)
+def late_characters() -> tuple[regex.Pattern, dict[int, str], dict[int, str]]:
+    """What finds letters and numbers that Python's own Unicode tables do not have yet, the lower case of each, and a
+    stand-in, neither letter nor number, for those that the tokenizers library does not have either. Its tables lie between
+    those of Python and of the regex module, so its own steps are asked, once for each process."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    unassigned = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) == "Cn")
+    late = regex.findall(r"[\p{L}\p{N}]", unassigned)
+    if not late:
+        return regex.compile("(?!)"), {}, {}
+    lines = "\n".join(late)
+    lower = normalizers.Lowercase().normalize_str(lines).split("\n")
+    known = {t for t, _ in pre_tokenizers.Split(Regex(r"[^\p{L}\p{N}]"), "removed").pre_tokenize_str(lines)}
+    return regex.compile("[" + "".join(late) + "]"), {ord(c): x for c, x in zip(late, lower) if x != c}, {ord(c): "\ue000" for c in late if c not in known}
+
+
 class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -51,6 +68,7 @@ class Bpe:
             left, right = m if isinstance(m, list) else m.split(" ")
             self.pairs[self.ids[left] << 32 | self.ids[right]] = rank, self.ids[left + right]
         self.pattern = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
+        self.late, self.late_lower, self.instead = late_characters()
         self.visible = printable_bytes()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -63,20 +81,26 @@ class Bpe:
         """Composed form and lower case, character by character: no rule looks at the neighbours."""
         if text.isascii():
             return text.lower()
-        return "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+        text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+        return text.translate(self.late_lower) if self.late.search(text) else text
 
     def pretokens(self, text: str) -> list[str | int]:
         """Pre-tokens in order; a special string inside the text is its id."""
         if not self.specials or self.opening not in text:
-            return self.pattern.findall(self.normal(text))
+            return self._found(self.normal(text))
         out: list[str | int] = []
         for i, part in enumerate(self.specials.split(text)):
             if i % 2:
                 out.append(self.special[part])
             elif part:
-                out.extend(self.pattern.findall(self.normal(part)))
+                out.extend(self._found(self.normal(part)))
         return out
 
+    def _found(self, text: str) -> list[str]:
+        if text.isascii() or not self.late.search(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.instead))]
+
     def symbols(self, pretoken: str) -> list[int]:
         """One symbol for each byte, the last with the mark of a word's end."""
         raw = pretoken.encode()

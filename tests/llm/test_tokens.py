@@ -42,6 +42,19 @@ def test_encode_and_decode(docs, rows, library):
     assert Counter(map(tuple, bpe.decode(encoded).collect())) == want
 
 
+def test_every_character(library):
+    """All code points between letters, those that newer versions of Unicode call letters among them."""
+    model = bpe.loaded(bpe.vocabulary_path())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x30000 or c % 97 == 0 or c > 0xE0000 and c < 0xE0200)]
+    texts = [f"ab{chr(c)}cd {chr(c)}" for c in points]
+    wrong = []
+    for k in range(0, len(texts), 20_000):
+        for t, e in zip(texts[k : k + 20_000], library.encode_batch_fast(texts[k : k + 20_000], add_special_tokens=False)):
+            if model.encode(t) != e.ids:
+                wrong.append(t)
+    assert not wrong
+
+
 def test_whole_tokens_encode_alone():
     whole = sorted(bpe.loaded(bpe.vocabulary_path()).whole_tokens())
     assert len(whole) > 1000
