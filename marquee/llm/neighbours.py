@@ -151,6 +151,19 @@ def _hashed(index: Index, query: bool):
     return run
 
 
+def _leading(x: np.ndarray, vectors: np.ndarray, n: int):
+    """(query, vector, exact score) of all pairs that may be among the n best of their query, in pieces. Whatever ties with
+    the n-th, or is no further below it than the product's rounding error, is among them; ids decide later."""
+    scores = x @ vectors.T
+    m = min(n, scores.shape[1])
+    last = np.partition(scores, scores.shape[1] - m, axis=1)[:, scores.shape[1] - m]
+    error = 4 * x.shape[1] * np.finfo(float).eps * np.linalg.norm(x, axis=1) * np.linalg.norm(vectors, axis=1).max()
+    i, j = np.nonzero(scores >= (last - error)[:, None])
+    for k in range(0, len(i), 20_000):
+        p, q = i[k : k + 20_000], j[k : k + 20_000]
+        yield p, q, (x[p] * vectors[q]).sum(1)  # one order of summation, whatever the block
+
+
 def _searched(dim: int, n: int):
     """Rows come by bucket and salt, vectors before the queries that visit them."""
 
@@ -176,18 +189,15 @@ def _searched(dim: int, n: int):
                     names, vectors = [np.concatenate(names)], [np.concatenate(vectors)]
                 for c in range(a, b, 256):
                     d = min(b, c + 256)
-                    scores = x[c:d] @ vectors[0].T
-                    m = min(n + 4, scores.shape[1])
-                    top = np.argpartition(-scores, m - 1, axis=1)[:, :m]
-                    exact = (x[c:d, None, :] * vectors[0][top]).sum(2)  # one order of summation, whatever the block
-                    held.append((np.repeat(own[c:d], m), names[0][top].reshape(-1), exact.reshape(-1)))
-                    count += exact.size
-                if count > 400_000:
-                    held = [_best(*map(np.concatenate, zip(*held)), n)]
-                    count = len(held[0][0])
-                    if count > 200_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(v) for v in held[0]], ["query", "class", "score"])
-                        held, count = [], 0
+                    for i, j, exact in _leading(x[c:d], vectors[0], n):
+                        held.append((own[c:d][i], names[0][j], exact))
+                        count += exact.size
+                        if count > 400_000:
+                            held = [_best(*map(np.concatenate, zip(*held)), n)]
+                            count = len(held[0][0])
+                            if count > 200_000:
+                                yield pa.RecordBatch.from_arrays([pa.array(v) for v in held[0]], ["query", "class", "score"])
+                                held, count = [], 0
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in _best(*map(np.concatenate, zip(*held)), n)], ["query", "class", "score"])
 
@@ -227,6 +237,12 @@ def _visits(index: Index, queries: np.ndarray, found: list[np.ndarray]) -> int:
         most *= 4
 
 
+def _norm(name: str):
+    """Length of a vector, its components divided by the largest first, so that no square overflows."""
+    most = F.array_max(F.transform(name, F.abs))
+    return most * F.sqrt(F.aggregate(name, F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+
+
 def search(vectors: DataFrame, asked, vec_id: str = "vec_id", vector: str = "embedding", n: int = 20, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): the n nearest found of every row for which the column expression `asked` holds.
 
@@ -242,7 +258,7 @@ def search(vectors: DataFrame, asked, vec_id: str = "vec_id", vector: str = "emb
     fine = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.where(F.col("id").isNotNull() & fine).groupBy("id").agg(F.min("v").alias("v"), F.bool_or("asked").alias("asked"))
     rows = materialise(rows)
-    facts = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("largest")).first()
+    facts = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.max(_norm("v")).alias("largest")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not facts["n"]:
         return empty

@@ -181,3 +181,32 @@ def test_scores(docs, rows):
     assert Counter((*tuple(r)[:5], round(r["base_score"], 3)) for r in out) == want
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in out)
     assert not scoring.score_documents(docs.where("false")).count()
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    """Small whole numbers: most lists end among many equal scores."""
+    rng = np.random.default_rng(11)
+    vectors = np.unique(rng.integers(-2, 3, (1500, 6)), axis=0).astype(float)
+    vectors = vectors[np.abs(vectors).sum(1) > 0]
+    ids = rng.permutation(len(vectors)) * 7
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(df, F.col("vec_id") % 5 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    scores = vectors @ vectors.T
+    exact = 0
+    for q in np.flatnonzero(ids % 5 == 0).tolist():
+        order = [k for k in np.lexsort((ids, -scores[q])) if k != q][:20]
+        exact += [(i + 1, int(ids[k]), scores[q][k]) for i, k in enumerate(order)] == sorted(got[int(ids[q])])
+    assert exact >= 0.9 * (ids % 5 == 0).sum()
+
+
+def test_leading_pairs_hold_all_ties():
+    x, vectors = np.ones((3, 4)), np.vstack([np.full((50, 4), 0.25), np.full((5, 4), 0.1)])
+    i, j, exact = map(np.concatenate, zip(*neighbours._leading(x, vectors, 2)))
+    assert len(i) == 150 and j.max() == 49 and (exact == 1).all()
+
+
+def test_long_vectors_do_not_overflow(spark):
+    df = spark.createDataFrame([(0, [1e200, 0.0]), (20, [0.0, 1e200]), (1, [1e-3, 1e200])], "vec_id long, embedding array<double>")
+    assert {(r.query_id, r["rank"]): r.vec_id for r in neighbours.search(df, F.col("vec_id") % 20 == 0).collect()}[20, 1] == 1
