@@ -126,7 +126,7 @@ class Mixture:
         self.totals = np.array(totals, np.longdouble)
         self.rates = np.array(rates, np.longdouble)
         self.all = int(sum(totals))
-        self.last = float(np.max(self.totals / self.rates)) + 1 if totals else 1.0
+        self.last = float(np.max(self.totals / self.rates)) + 1 if len(totals) else 1.0
 
     def _at(self, due: np.ndarray) -> np.ndarray:
         return np.minimum(self.totals, np.floor(due[:, None] * self.rates + 0.5))
