@@ -64,4 +64,13 @@ def materialise(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that `materialise` wrote, once nothing that is still to be computed reads it."""
+    spark, path = df.sparkSession, df._scratch
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
