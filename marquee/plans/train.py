@@ -95,8 +95,8 @@ def logistic(weight_total: float) -> LogisticRegression:
 
 
 def forest(trees: int = 200) -> RandomForestClassifier:
-    """Trees as deep as Spark lets them grow."""
-    return RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=30, seed=SEED)
+    """Trees as deep as Spark lets them grow; with more memory for statistics, a pass over the rows splits more nodes."""
+    return RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=30, seed=SEED, maxMemoryInMB=1024)
 
 
 def boosted(rounds: int = 1000, depth: int = 6, rate: float = 0.03) -> GBTClassifier:
@@ -158,9 +158,14 @@ def compare_models(
     train: DataFrame, validation: DataFrame, models: Mapping[str, tuple], columns: Sequence[str]
 ) -> DataFrame:
     """Report rows and area under the curve of each model on one validation split. `models`: name -> (make, weights)."""
+    score = lambda make, weights: materialise(fit(train, make, columns, weights).score(validation).select("label", "prob"))
+    return compare_scores({name: score(*how) for name, how in models.items()})
+
+
+def compare_scores(scores: Mapping[str, DataFrame]) -> DataFrame:
+    """The same from stored scores (label, prob) of each model."""
     out = None
-    for name, (make, weights) in models.items():
-        scored = materialise(fit(train, make, columns, weights).score(validation).select("label", "prob"))
+    for name, scored in scores.items():
         area = metrics.roc_auc(scored, "prob").first()["roc_auc"]
         report = metrics.classification_report(scored.withColumn("pred", at_least(F.col("prob"), 0.5)))
         rows = report.withColumns({"model": F.lit(name), "roc_auc": F.lit(area).cast("double")})
@@ -208,6 +213,8 @@ class Outcome:
     threshold: float | None
     validation_auc: float | None
     test_auc: float | None
+    validation: DataFrame
+    test: DataFrame
     validation_report: DataFrame
     test_report: DataFrame
     missed: DataFrame
@@ -249,6 +256,8 @@ def run_master(
         threshold=threshold,
         validation_auc=metrics.roc_auc(on_validation, "prob").first()["roc_auc"],
         test_auc=metrics.roc_auc(on_test, "prob").first()["roc_auc"],
+        validation=judged,
+        test=on_test,
         validation_report=metrics.classification_report(judged),
         test_report=metrics.classification_report(on_test),
         missed=metrics.missed(on_test),
