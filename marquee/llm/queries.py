@@ -59,10 +59,8 @@ WITH line AS (
     FROM documents
 ), worded AS (
     SELECT * FROM line WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]')
-), once AS (
-    SELECT line, text, min(source) AS source FROM worded GROUP BY line, text
 ), boilerplate AS (
-    SELECT line FROM once GROUP BY line HAVING count(DISTINCT source) >= 10
+    SELECT line FROM worded GROUP BY line HAVING count(DISTINCT source) >= 10 AND count(DISTINCT text) >= 10
 ), first AS (
     SELECT line, min(ROW(doc_id, pos)) AS place FROM worded SEMI JOIN boilerplate USING (line) GROUP BY line
 ), marked AS (
