@@ -11,6 +11,8 @@ word costs one small row for each block, and no set of phrases is ever broadcast
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.base import arrow, col, texts
 from marquee.llm.words import Words, mix
-from marquee.session import materialise
+from marquee.session import discard, materialise
 
 #: Words of the longest phrase; least count of a candidate; share of a phrase's places, in hundredths, at which a longer one
 #: takes its place; rows for each language.
@@ -33,7 +35,6 @@ _END = np.zeros(256, bool)
 _END[list(_ENDS)] = True
 _SPACE = _END.copy()
 _SPACE[list(_GAPS)] = True
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _ITEMS = "block long, items binary, follows binary, context binary"
 
@@ -62,16 +63,19 @@ def segments(text: bytes, size: int, before: int):
         head, context, begin = b"".join(w + b" " for w in own), len(own), end
 
 
-def _distinct(words: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, code): places of the first occurrence of each (language, word), and which of them stands at each place."""
-    keys = mix(words.hashes(1) + lang.astype(np.uint64) * _STEP)
+def _distinct(words: Words, lang: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, code, key): places of the first occurrence of each (language, word), which of them stands at each place, and
+    a fingerprint of each, the same in all blocks, by which alone nothing is taken as equal. `seeds`: a number for each
+    language."""
+    keys = mix(words.hashes(1) + seeds[lang])
     _, first, code = np.unique(keys, return_index=True, return_inverse=True)
     check = words.hashes(3)
     if (check == check[first][code]).all() and (lang == lang[first][code]).all():
-        return first, code
+        return first, code, keys[first]
     seen: dict = {}  # two words with one fingerprint: compare the words themselves
     code = np.array([seen.setdefault((k, words.word(i)), len(seen)) for i, k in enumerate(lang.tolist())])
-    return np.unique(code, return_index=True)[1], code
+    first = np.unique(code, return_index=True)[1]
+    return first, code, keys[first]
 
 
 def _cut(size: int, longest: int):
@@ -82,7 +86,8 @@ def _cut(size: int, longest: int):
         at = {n: k for k, n in enumerate(names)}
         words = Words([p[1] for p in parts], lower=True, space=_SPACE)
         lang = np.repeat(np.array([at[p[0]] for p in parts]), words.counts())
-        first, code = _distinct(words, lang)
+        seeds = np.array([int.from_bytes(blake2b(n.encode(), digest_size=8).digest()) for n in names], np.uint64)
+        first, code, key = _distinct(words, lang, seeds)
         context = np.zeros(len(code), bool)
         for i in np.flatnonzero([p[2] for p in parts]).tolist():
             context[words.first[i] : words.first[i] + parts[i][2]] = True
@@ -92,7 +97,7 @@ def _cut(size: int, longest: int):
         own = lang[first]
         totals = np.bincount(own, counts, len(names)).astype(np.int64)
         found = pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()).take(pa.array(own)), pa.array([words.word(i) for i in first.tolist()], pa.binary()).cast(pa.string()), pa.array(counts)], ["lang", "word", "n"]
+            [pa.array(names, pa.string()).take(pa.array(own)), pa.array([words.word(i) for i in first.tolist()], pa.binary()).cast(pa.string()), pa.array(key.view(np.int64)), pa.array(counts)], ["lang", "word", "key", "n"]
         )
         spoken = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(totals)], ["lang", "n"])
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (found, spoken)]
@@ -169,20 +174,30 @@ def _kept(extend: bool):
 
 def _frequent(groups: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, DataFrame]:
     """From (keys, block, at, n): the frequent groups (id, keys, f), numbered densely from 0, and for each block the list of
-    its frequent groups (block, found)."""
+    its frequent groups (block, found).
+
+    A group of several keys is named by its place in the first block that has it, so that long keys are written once."""
     own = Window.partitionBy(*keys)
-    counted = groups.select(*keys, "block", "at", F.sum("n").over(own).alias("f"), F.min("block").over(own).alias("lead"))
-    rows = materialise(counted.where(F.col("f") >= least))
-    raw = materialise(rows.where("block = lead").select(*keys, "f", F.monotonically_increasing_id().alias("id")))
+    place = F.struct("block", "at") if len(keys) > 1 else F.col("block")
+    name = F.col("name") if len(keys) > 1 else F.col(keys[0])
+    counted = groups.select(*keys, "block", "at", F.sum("n").over(own).alias("f"), F.min(place).over(own).alias("name"))
+    leads = F.col("name") == place
+    rows = counted.where(F.col("f") >= least).select("block", "at", name.alias("name"), leads.alias("leads"), *[F.when(leads, F.col(c)).alias(c) for c in [*keys, "f"]])
+    rows = materialise(rows)
+    leads = F.col("leads")
+    raw = materialise(rows.where(leads).select("name", *keys, "f", F.monotonically_increasing_id().alias("id")))
     slot = F.shiftright("id", 33)
     sizes = sorted(map(tuple, raw.groupBy(slot.alias("slot")).count().collect()))  # a row for each partition
     if sum(n for _, n in sizes) >= 1 << 31:
         raise OverflowError("two frequent groups of over 2^31 do not fit one key")
     bases = raw.sparkSession.createDataFrame([(s, sum(n for _, n in sizes[:k])) for k, (s, _) in enumerate(sizes)], "slot long, base long")
     dense = F.col("base") + F.col("id") - F.shiftleft("slot", 33)
-    found = raw.join(F.broadcast(bases), slot == F.col("slot")).select(*keys, "f", dense.alias("id"))
-    lists = rows.join(found, keys).groupBy("block").agg(F.collect_list(F.struct(F.col("at"), F.col("id"))).alias("found"))
-    return found, materialise(lists)
+    found = raw.join(F.broadcast(bases), slot == F.col("slot")).select("name", *keys, "f", dense.alias("id"))
+    lists = rows.select("block", "at", "name").join(found.select("name", "id"), "name")
+    lists = lists.groupBy("block").agg(F.collect_list(F.struct(F.col("at"), F.col("id").cast("int"))).alias("found"))
+    lists = materialise(lists)
+    discard(rows)
+    return found, lists
 
 
 def _relation(stored: DataFrame, lists: DataFrame, extend: bool) -> DataFrame:
@@ -222,19 +237,23 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int =
     read, whatever their names. No rows: no phrases. A language without phrases has no rows."""
     rows = docs.select(col(text).alias("text"), F.coalesce(col(lang).cast("string"), F.lit("und")).alias("lang"))
     pair = "array<struct<lang: string, {}n: long>>"
-    stored = materialise(arrow(rows, _cut(BLOCK, longest), f"{_ITEMS}, words {pair.format('word: string, ')}, totals {pair.format('')}"))
-    spoken = stored.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("words"))
-    words = stored.select("block", F.posexplode("words").alias("at", "w")).select("w.lang", "w.word", "block", "at", "w.n")
-    found, lists = _frequent(words, ["lang", "word"], least)
+    stored = materialise(arrow(rows, _cut(BLOCK, longest), f"{_ITEMS}, words {pair.format('word: string, key: long, ')}, totals {pair.format('')}"))
+    spoken = materialise(stored.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("words")))
+    words = stored.select("block", F.posexplode("words").alias("at", "w")).select("w.key", "w.lang", "w.word", "block", "at", "w.n")
+    found, lists = _frequent(words, ["key", "lang", "word"], least)
     none = F.array().cast("array<long>")
     grams = [found.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), none.alias("firsts"), none.alias("lasts"), F.col("f").alias("n"))]
     relation = _relation(stored, lists, False)
+    discard(stored)
+    discard(lists)
     for length in range(2, longest + 1):
         groups = arrow(relation, _groups, "key long, block long, at int, n long")
         found, lists = _frequent(groups, ["key"], least)
         grams.append(materialise(_scored(found, grams[-1])))
         if length < longest:
-            relation = _relation(relation, lists, True)
+            before, relation = relation, _relation(relation, lists, True)
+            discard(before)
+        discard(lists)
     out = None
     for k, own in enumerate(grams[1:], 2):
         kept = own

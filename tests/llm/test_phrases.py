@@ -70,7 +70,7 @@ def test_segments_keep_every_word_once():
 def test_equal_fingerprints_are_told_apart(monkeypatch):
     words = phrases.Words([b"one two one three two"], space=phrases._SPACE)
     monkeypatch.setattr(phrases, "mix", lambda h: h * 0)
-    first, code = phrases._distinct(words, phrases.np.zeros(5, int))
+    first, code, _ = phrases._distinct(words, phrases.np.zeros(5, int), phrases.np.ones(1, phrases.np.uint64))
     assert first.tolist() == [0, 1, 3] and code.tolist() == [0, 1, 0, 2, 1]
 
 
