@@ -182,6 +182,22 @@ def _(spark, sf):
     return ranked.select("o_orderkey", F.col("rank_in_year").cast("long").alias("rank_in_year"))
 
 
+@query(
+    "rank_large_decimals",
+    """SELECT o_orderkey, rank() OVER (PARTITION BY year(o_orderdate) ORDER BY CASE WHEN o_orderpriority <> '5-LOW' THEN
+       CAST(floor(o_totalprice / 20000) AS HUGEINT) * 100000000000000000000::HUGEINT + o_orderkey % 7 END DESC NULLS LAST) AS rank_in_year FROM orders""",
+)
+def _(spark, sf):
+    """Values that a double cannot tell apart, many of them equal."""
+    steps = F.floor(F.col("o_totalprice") / 20000).cast("decimal(10,0)")
+    gross = (steps * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)") + F.col("o_orderkey") % 7
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("year"), F.when(F.col("o_orderpriority") != "5-LOW", gross.cast("decimal(38,0)")).alias("gross")
+    )
+    ranked = rank_in_group(rows, "year", "gross", "o_orderkey", "rank_in_year")
+    return ranked.select("o_orderkey", F.col("rank_in_year").cast("long").alias("rank_in_year"))
+
+
 @query("feature_table", film_sql(DATASET))
 def _(spark, sf):
     return rounded(dataset(spark, sf))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.operators.sizing import broadcast_if_small
 from marquee.session import materialise
@@ -60,11 +61,14 @@ def rank_in_group(
     parts: int | None = None,
     salts: int = 32,
 ) -> DataFrame:
-    """SQL RANK with nulls last, where groups and ties may be large. Values are compared as doubles.
+    """SQL RANK with nulls last, where groups and ties may be large.
 
     One shuffle on (group, slot, salt). Rows of a slot with one value, and nulls, all have the rank of the slot's
-    first row, so they are spread by salt; only slots between points are sorted.
+    first row, so they are spread by salt; only slots between points are sorted. Slots are cut by the value as a double. Long
+    and wide decimal values may differ though their doubles are equal: they are compared as they are, and in a slot of one
+    double each value has the count of those before it.
     """
+    wide = _wide(df.schema[order].dataType)
     points = split_points(df, order, parts)
     slotted = with_slot(df, order, points, "_slot", descending)
     counts = slotted.groupBy(by, "_slot").agg(F.count(F.lit(1)).alias("_n"))
@@ -76,10 +80,14 @@ def rank_in_group(
     )
     tied = F.col(order).isNull() | (F.col("_slot") % 2 == 1)
     salt = F.when(tied, F.pmod(F.xxhash64(key), F.lit(salts))).otherwise(F.lit(0))
-    x = F.col(order).cast("double")
+    x = F.col(order) if wide else F.col(order).cast("double")
     value = x.desc_nulls_last() if descending else x.asc_nulls_last()
     local = F.rank().over(Window.partitionBy(by, "_slot", "_salt").orderBy(value))
+    if wide:
+        local = F.when(tied, F.lit(1)).otherwise(local)
     placed = slotted.withColumn("_salt", salt).withColumn("_local", local)
+    if wide:
+        placed = _add_places_in_point(placed, slotted, by, order, descending)
     same = F.col(by).eqNullSafe(F.col("_by")) & (F.col("_slot") == F.col("_of"))
     joined = placed.join(broadcast_if_small(offsets), same, "left")
     return joined.withColumn(out, F.col("_local") + F.col("_before")).drop(
@@ -87,6 +95,24 @@ def rank_in_group(
     )
 
 
+def _wide(kind: T.DataType) -> bool:
+    """Whether values of a type may differ though their doubles do not."""
+    return isinstance(kind, T.LongType) or isinstance(kind, T.DecimalType) and kind.precision > 15
+
+
+def _add_places_in_point(placed: DataFrame, slotted: DataFrame, by: str, order: str, descending: bool) -> DataFrame:
+    """Adds to `_local`, in slots of one double, how many rows of the slot come before the value. The values are counted first,
+    so a value that many rows share is one row of the join's smaller side."""
+    points = slotted.filter((F.col("_slot") % 2 == 1) & F.col(order).isNotNull())
+    counts = points.groupBy(F.col(by).alias("_pby"), F.col("_slot").alias("_pof"), F.col(order).alias("_pv")).agg(F.count(F.lit(1)).alias("_pn"))
+    sort = F.col("_pv").desc() if descending else F.col("_pv").asc()
+    earlier = Window.partitionBy("_pby", "_pof").orderBy(sort).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_pbefore", F.coalesce(F.sum("_pn").over(earlier), F.lit(0))).filter(F.col("_pbefore") > 0)
+    same = F.col(by).eqNullSafe(F.col("_pby")) & (F.col("_slot") == F.col("_pof")) & (F.col(order) == F.col("_pv"))
+    joined = placed.join(broadcast_if_small(counts), same, "left")
+    return joined.withColumn("_local", F.col("_local") + F.coalesce("_pbefore", F.lit(0))).drop("_pby", "_pof", "_pv", "_pn", "_pbefore")
+
+
 def with_running_totals(
     df: DataFrame,
     totals: dict[str, str],

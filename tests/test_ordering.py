@@ -101,3 +101,20 @@ def test_quantiles_between_frequent_values(spark, monkeypatch, values):
     shares = [0.25, 0.4, 0.5, 0.75]
     assert exact_quantiles(df, ["x"], shares, small_rows=10)["x"] == pytest.approx(np.quantile(values, shares).tolist())
     assert len(passes) <= 1 + 2 * 4
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("parts", [2, 40])
+def test_wide_values_rank_as_they_are(spark, descending, parts):
+    from decimal import Decimal
+
+    rng = np.random.default_rng(6)
+    values = [None if k % 9 == 0 else Decimal(int(rng.integers(0, 4))) * 10**25 + int(rng.integers(0, 5)) for k in range(300)]
+    rows = [("hot" if k % 3 else "cold", k, v) for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "g STRING, k INT, v DECIMAL(38,0)").repartition(3)
+    got = {r.k: r.r for r in rank_in_group(df, "g", "v", "k", "r", descending, parts).collect()}
+    for g in ("hot", "cold"):
+        own = [(k, v) for h, k, v in rows if h == g]
+        for k, v in own:
+            before = [w for _, w in own if w is not None and (v is None or (w > v if descending else w < v))]
+            assert got[k] == 1 + len(before)
