@@ -167,6 +167,49 @@ def _(spark, sf):
     return page_source.review_links(table(spark, sf, "pages"), link_pattern=r'(?s)<a[^>]*href="([^"]+)"', marker=".example.")
 
 
+def _review_pages(spark, sf):
+    """The given pages, each between review cards and a block of links as review sites write them."""
+    n = F.col("page_id")
+    card = lambda text: F.concat(F.lit('<div class="x c-siteReviewHeader_reviewScore y"><a><div><div>'), text, F.lit("</div></div></a></div><p><span>7</span></p>"))
+    span = lambda text: F.concat(F.lit("<span> "), text.cast("string"), F.lit("&nbsp;</span>"))
+    cards = [card(span(n % 101)), card(F.lit("tbd")), card(span((n * 7) % 101)), card(F.lit("&#56;&#x34;"))]
+    title = F.concat(
+        F.lit('<div data-testid="critic-reviews-title" id="t"><div><div>a</div><div><a href="/wrong">w</a></div></div><div><div><a href="/no">n</a></div><div><span><a class="l" href="https://www.metacritic.com/movie/film-'),
+        n.cast("string"),
+        F.lit('?a=1&amp;b=2">m</a></span></div></div></div><div><div></div><div><a href="/after">z</a></div></div>'),
+    )
+    html = F.concat(F.lit("<body><p>Showing "), (n % 6).cast("string"), F.lit(" <b>Critic Reviews</b></p>"), *cards, title, F.col("html"))
+    return table(spark, sf, "pages").select("page_id", "url", html.alias("html"))
+
+
+@query(
+    "page_cards",
+    """SELECT page_id, i AS sample_index, CAST(CASE i WHEN 1 THEN page_id % 101 WHEN 3 THEN (page_id * 7) % 101 WHEN 4 THEN 84 END AS INTEGER) AS score
+       FROM pages, (VALUES (1), (2), (3), (4)) AS t(i) WHERE i <= page_id % 6""",
+)
+def _(spark, sf):
+    """Cards by the default markers: some without a score, some without a span, and numbers outside of cards."""
+    return page_source.score_rows(page_source.review_scores(_review_pages(spark, sf)))
+
+
+@query(
+    "page_card_rejects",
+    "SELECT page_id AS id, 2 AS sample_index, 'tbd' AS text, 'score is no number' AS reason FROM pages WHERE page_id % 6 >= 2",
+)
+def _(spark, sf):
+    return page_source.score_rejects(page_source.review_scores(_review_pages(spark, sf)))
+
+
+@query(
+    "page_block_links",
+    """SELECT page_id, 'https://www.metacritic.com/movie/film-' || page_id || '?a=1&b=2' AS link, 'film-' || page_id AS slug,
+       'https://www.metacritic.com/movie/film-' || page_id || '/critic-reviews/' AS reviews_url FROM pages""",
+)
+def _(spark, sf):
+    """The link of the second block of the second block, not the first link of the page."""
+    return page_source.review_links(_review_pages(spark, sf))
+
+
 # --- deduplication, dimensions, keys --------------------------------------------------------------------------
 
 
