@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import film
+from checks.features import dataset
 from checks.film import film_sql
 from checks.metrics import _ORDERS_SQL, orders
 from checks.profile import labelled
 from checks.registry import query, rounded, table
+from marquee.functions import stats, text
 from marquee.operators import planned, relations
 from marquee.operators.history import earlier_successes
+from marquee.plans import features
 
 _NUMBERS = ["imdb_rating", "imdb_votes", "runtime_minutes"]
 
@@ -175,3 +179,86 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return rounded(planned.calibration(orders(spark, sf)))
+
+
+@query(
+    "release_dates",
+    "SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS release_month, CAST(month(o_orderdate) >= 10 AS INTEGER) AS is_late_year_release, "
+    "CAST(date_diff('day', CAST(o_orderdate AS DATE), make_date(year(o_orderdate) + 1, 3, 10)) AS INTEGER) AS days_to_oscar_ceremony, "
+    "CAST(date_sub('month', CAST(o_orderdate AS DATE), make_date(year(o_orderdate) + 1, 3, 10)) AS INTEGER) AS ceremony_delay FROM orders WHERE year(o_orderdate) < 2001 "
+    "UNION ALL SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER), CAST(month(o_orderdate) >= 10 AS INTEGER), NULL, NULL FROM orders WHERE year(o_orderdate) >= 2001",
+)
+def _(spark, sf):
+    """The ceremony is on the tenth of March of the year after; the last years have none yet."""
+    films = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("release_year"))
+    held = films.filter("release_year < 2001").select(F.col("release_year").alias("year")).distinct()
+    held = held.withColumn("ceremony_date", F.make_date(F.col("year") + 1, F.lit(3), F.lit(10)))
+    return planned.release_date_features(films, "o_orderdate", held).drop("o_orderdate", "release_year")
+
+
+@query(
+    "scores_as_int",
+    "SELECT l_orderkey, l_linenumber, CAST(trunc((l_extendedprice - 30000) / 1000) AS INTEGER) AS score, "
+    "round_even(CAST(l_extendedprice AS DOUBLE) - 30000, 0) / 1000 AS shown FROM lineitem",
+)
+def _(spark, sf):
+    """Scores with fractions and signs as whole numbers, and as they are shown."""
+    x = ((F.col("l_extendedprice") - 30000) / 1000).cast("double")
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.score_to_int(x).alias("score"), stats.display_round(x).alias("shown"))
+
+
+@query("retrain_range", film_sql("SELECT imdb_id, label FROM ml_training_dataset WHERE release_year BETWEEN 1995 AND 2000"))
+def _(spark, sf):
+    """All labelled years up to the last one tested."""
+    return features.split(dataset(spark, sf), 1995, 2000).select("imdb_id", "label")
+
+
+@query(
+    "undersampled",
+    film_sql(
+        "SELECT CAST(nominated_oscar AS INTEGER) AS label, count(*) AS n, true AS as_many_as_the_smaller FROM movies GROUP BY nominated_oscar"
+    ),
+)
+def _(spark, sf):
+    """The smaller class stays whole; the larger one comes down to its size, to within six standard deviations."""
+    films = labelled(spark, sf)
+    count = lambda df, name: df.groupBy("label").agg(F.count(F.lit(1)).alias(name))
+    both = count(films, "n").join(count(planned.undersample(films), "kept"), "label")
+    least = both.agg(F.min("n").alias("least"))
+    near = F.abs(F.col("kept") - F.col("least")) <= F.when(F.col("n") == F.col("least"), 0).otherwise(6 * F.sqrt("least"))
+    return both.crossJoin(F.broadcast(least)).select(F.col("label").cast("int").alias("label"), "n", near.alias("as_many_as_the_smaller"))
+
+
+@query(
+    "redundant_features",
+    "SELECT name FROM (SELECT abs(corr(l_quantity, 2 * l_quantity + l_discount)) AS twice, abs(corr(l_quantity, l_tax)) AS tax, "
+    "greatest(abs(corr(l_tax, -l_tax)), 0) AS less FROM lineitem), (VALUES ('twice'), ('l_tax'), ('less')) AS t(name) "
+    "WHERE CASE name WHEN 'twice' THEN twice > 0.95 WHEN 'l_tax' THEN tax > 0.95 ELSE less > 0.95 END",
+)
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_quantity", (2 * F.col("l_quantity") + F.col("l_discount")).alias("twice"), "l_tax", (-F.col("l_tax")).alias("less"))
+    return spark.createDataFrame([(c,) for c in planned.redundant_features(lines, lines.columns)], "name STRING")
+
+
+@query("shuffled_column", film_sql("SELECT imdb_votes, count(*) AS n, true AS most_moved FROM movies GROUP BY imdb_votes"))
+def _(spark, sf):
+    """A shuffled column has the same values, on other films."""
+    films = film.movies(spark, sf).select("imdb_id", "imdb_votes")
+    moved = planned.shuffled_column(films, "imdb_votes", "imdb_id")
+    both = moved.join(films.withColumnRenamed("imdb_votes", "was"), "imdb_id")
+    share = both.agg((F.avg((F.col("was") != F.col("imdb_votes")).cast("double")) > 0.9).alias("most_moved"))
+    return moved.groupBy("imdb_votes").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(share))
+
+
+@query(
+    "people_in_order",
+    film_sql(
+        "SELECT movie_id, person_id, role, row_number() OVER (PARTITION BY movie_id ORDER BY CASE role WHEN 'director' THEN 0 WHEN 'writer' THEN 1 ELSE 2 END, "
+        "cast_order NULLS LAST, person_id) AS place FROM movie_people"
+    ),
+)
+def _(spark, sf):
+    """The loader's order, read off the rows as they come."""
+    ordered = relations.order_people(film.movie_people(spark, sf)).withColumn("at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("movie_id").orderBy("at")).cast("long")
+    return ordered.select("movie_id", "person_id", "role", place.alias("place"))

@@ -11,6 +11,7 @@ from marquee.functions.stats import ratio
 from marquee.operators.ordering import split_points, with_running_totals, with_slot
 from marquee.operators.profile import correlation_matrix, top_categories
 from marquee.operators.quantiles import SMALL_ROWS, exact_quantiles
+from marquee.operators.sizing import broadcast_if_small
 from marquee.session import materialise
 
 
@@ -106,6 +107,22 @@ def adjust_for_inflation(df: DataFrame, index: DataFrame, columns: Sequence[str]
     return joined.withColumns({f"{c}_adjusted": F.col(c).cast("double") * F.col("factor") for c in columns}).drop("factor")
 
 
+def release_date_features(df: DataFrame, date: str, ceremonies: DataFrame, year: str = "release_year") -> DataFrame:
+    """Adds release_month, is_late_year_release (October to December, 0 or 1), days_to_oscar_ceremony and ceremony_delay (whole
+    months) to the ceremony that honours the release year. `ceremonies`: year, ceremony_date, a row a year. A missing date
+    gives nulls, a year without ceremony nulls for what depends on it."""
+    day, held = F.col(date).cast("date"), ceremonies.select(F.col("year").alias("_year"), F.col("ceremony_date").cast("date").alias("_held"))
+    joined = df.join(broadcast_if_small(held), F.col(year) == F.col("_year"), "left")
+    return joined.withColumns(
+        {
+            "release_month": F.month(day),
+            "is_late_year_release": F.month(day).between(10, 12).cast("int"),
+            "days_to_oscar_ceremony": F.datediff("_held", day),
+            "ceremony_delay": F.floor(F.months_between("_held", day)).cast("int"),
+        }
+    ).drop("_year", "_held")
+
+
 # --- reports --------------------------------------------------------------------------------------------------
 
 
