@@ -220,20 +220,29 @@ def _forest(least: float):
     return run
 
 
+def _numbered(docs: DataFrame, row: str) -> DataFrame:
+    """`docs` with a number for each row, written once: numbers taken anew by each job would change with the executors."""
+    return materialise(docs.select(F.monotonically_increasing_id().alias(row), "*"))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """(row, doc_id, class_id, kept) of every row of `docs`: its class of near duplicates and whether it stands for it.
 
     Two texts are linked if their weighted similarity over runs of five words is `similar` or more, and a class is what
     links connect; equal texts are one. `class_id` is the smallest doc_id in the class, and its row (one of them, if ids
     repeat) is kept. Null ids come last; a class without ids has a null class_id. A null, empty or blank text is no
-    duplicate of any other. `row` numbers the rows of `docs`, which must come from storage.
+    duplicate of any other. `row` numbers the rows of `docs`.
 
     Equal texts meet by digest, so only one of a group of copies goes on. In a bucket of a band every text is compared with
     the first, which makes no pairs among the others. Where some of them stay apart, all texts of the bucket are compared
     inside tasks, a block with a block, and only links that join two classes leave the task; so no class is missed that any
     link within a bucket makes, and no pairs are made as rows.
     """
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), col(doc_id).cast("long").alias("id"), col(text).alias("text"))
+    return _classes(_numbered(docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("text")), "row"), similar)
+
+
+def _classes(keyed: DataFrame, similar: float) -> DataFrame:
+    """`keyed`: a stored table of row, id, text."""
     signed = materialise(arrow(keyed, _bands(BANDS, ROWS), "row long, id long, digest binary, bands array<long>"))
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
     heads = materialise(signed.where("digest is not null").groupBy("digest").agg(F.min(rank).alias("first"), F.min_by("bands", rank).alias("bands")))
@@ -266,5 +275,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
     """The kept rows of `docs`, with all their columns; see `classes`."""
     (row,) = fresh(docs, "row")
-    kept = classes(docs, doc_id, text, similar).where("kept").select(F.col("row").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").select(*[col(c) for c in docs.columns])
+    stored = _numbered(docs, row)
+    keyed = stored.select(col(row).alias("row"), col(doc_id).cast("long").alias("id"), col(text).alias("text"))
+    kept = _classes(keyed, similar).where("kept").select(F.col("row").alias(row))
+    return stored.join(kept, row, "left_semi").select(*[col(c) for c in docs.columns])

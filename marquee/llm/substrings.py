@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from marquee.llm.base import arrow, col, pieces, texts
 from marquee.llm.words import Words, groups, runs
-from marquee.session import materialise
+from marquee.session import discard, materialise
 
 #: Words of a window, and of the runs that anchors are chosen from.
 WINDOW = 20
@@ -207,6 +207,11 @@ def factors(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     """(row, start, words, source_id, source_row, source_start): runs of `words` words that stand earlier too.
 
     `keyed`: row, id, text, then any columns. Equal texts are one factor of the first of them, if long enough to have one."""
+    return _factors_and_scratch(keyed, window, anchor)[0]
+
+
+def _factors_and_scratch(keyed: DataFrame, window: int, anchor: int = ANCHOR) -> tuple[DataFrame, list[DataFrame]]:
+    """`factors`, and the tables that only they read."""
     rank = F.struct(F.col("id"), F.col("row"))
     seen = materialise(arrow(keyed.select("row", "id", "text"), _anchors(window, anchor), "row long, id long, digest binary, n long, own boolean, anchors array<long>"))
     heads = materialise(seen.where(F.col("n") >= window).groupBy("digest").agg(F.min(rank).alias("first")))
@@ -224,7 +229,7 @@ def factors(keyed: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     indexed = found.repartition(parts, "block").sortWithinPartitions("block")
     parsed = arrow(indexed, _parse(window), "row long, start long, words long, source_id long, source_row long, source_start long")
-    return parsed.unionByName(copies)
+    return parsed.unionByName(copies), [seen, heads, todo]
 
 
 def _keep(text: int, spans: int, keep: list[int], digest: bool):
@@ -268,7 +273,11 @@ def _applied(docs: DataFrame, doc_id: str, text: str, window: int, digest: bool)
     others = [c for c in docs.columns if c not in (text,)] if not digest else []
     names = [f"c{i}" for i in range(len(others))]  # no name clashes while they are carried along
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(col(doc_id).cast("long"), F.lit(_LAST)).alias("id"), col(text).alias("text"), col(doc_id).cast("long").alias("doc_id"), *[col(c).alias(n) for c, n in zip(others, names)])
-    spans = factors(keyed, window).groupBy("row").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
+    keyed = materialise(keyed)  # numbers taken anew by each job would change with the executors
+    found, scratch = _factors_and_scratch(keyed, window)
+    spans = materialise(found.groupBy("row").agg(F.collect_list(F.struct("start", "words")).alias("spans")))
+    for used in scratch:
+        discard(used)
     joined = keyed.join(spans, "row", "left")
     at = {c: i for i, c in enumerate(joined.columns)}
     keep = [at["doc_id"]] if digest else [at["text"], *(at[n] for n in names)]
@@ -285,8 +294,7 @@ def _applied(docs: DataFrame, doc_id: str, text: str, window: int, digest: bool)
 def removed_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row: what is left when each window of words that also starts
     earlier is taken out. Earlier is a smaller id, or an earlier start; null ids come last, and rows of one id follow each
-    other in the order they are read. Windows are judged on the input. A null or short text loses nothing. `docs` must come
-    from storage, so that a row read again has the same number."""
+    other in the order they are read. Windows are judged on the input. A null or short text loses nothing."""
     return _applied(docs, doc_id, text, window, True)
 
 

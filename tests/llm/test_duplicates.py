@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from marquee.llm import lines, minhash, substrings
 
@@ -111,6 +112,46 @@ def test_lines(spark, folder):
     assert {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in counts if r["doc_id"] in (0, 1, 9, 200, 201, 202)} == {0: (3, 0), 1: (3, 1), 9: (2, 1), 200: (0, 0), 201: (0, 0), 202: (0, 0)}
 
 
+def test_every_site_of_a_line_counts(spark, folder):
+    """A menu on twelve sites, each with a text of its own that is copied to one site as well, and columns that clash."""
+    data = [(i, f"own {i}\nmenu", f"site{i}", 1, "x") for i in range(12)] + [(100 + i, f"own {i}\nmenu", "a", 2, "y") for i in range(12)]
+    data += [(200 + i, f"mine {i % 9}\nnine texts", f"site{i}", 3, "z") for i in range(40)]
+    spark.createDataFrame(data, "doc_id long, text string, source string, _lines long, gone string").write.parquet(folder + "/t")
+    out = lines.remove(spark.read.parquet(folder + "/t"))
+    assert out.columns == ["doc_id", "text", "source", "_lines", "gone"]
+    want = {(i, t if i == 0 or i >= 200 else t.replace("\nmenu", ""), s, n, g) for i, t, s, n, g in data}
+    assert set(map(tuple, out.collect())) == want
+
+
+@pytest.mark.parametrize("operator", ["classes", "deduplicate", "removed_words", "cut", "lines"])
+def test_executors_may_come_and_go(spark, docs, rows, folder, monkeypatch, operator):
+    """The scan of the input is cut otherwise in each job, as it is when cores come and go between them."""
+    spread = f"{folder}/spread"
+    docs.repartition(24).write.parquet(spread)
+    docs = spark.read.parquet(spread)
+    run = {
+        "classes": lambda: minhash.classes(docs).drop("row"),
+        "deduplicate": lambda: minhash.deduplicate(docs).select("text"),
+        "removed_words": lambda: substrings.removed_words(docs.where("doc_id <> 7")),
+        "cut": lambda: substrings.deduplicate(docs.where("doc_id <> 7")).select("doc_id", "text"),
+        "lines": lambda: lines.remove(docs).select("doc_id", "text"),
+    }[operator]
+    want = Counter(map(str, run().collect()))
+    cores, plain = [3, 1, 17, 2, 29], minhash.materialise
+
+    def changing(df):
+        cores.append(cores.pop(0))  # the next number of cores
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores[0])
+        return plain(df)
+
+    for module in (minhash, substrings, lines):
+        monkeypatch.setattr(module, "materialise", changing)
+    try:
+        assert Counter(map(str, run().collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
 def test_lines_of_odd_rows_stay(docs, rows):
     out = lines.remove(docs, sites=100)
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter((i, t) for i, t, _ in rows)
