@@ -20,10 +20,14 @@ HEADLINE = [
     "type_flags",
     "pedigree_director",
     "pedigree_cast",
+    "pedigree_hub",
+    "pedigree_many_hubs",
+    "coworkers_director",
     "feature_table",
     "split_train",
     "score_features",
     "score_features_fractional",
+    "score_features_hub",
     "dedupe_first",
     "insert_ignore",
     "dim_people",

@@ -260,6 +260,31 @@ def test_catalogue_round_trip(spark, inputs, folder):
         sinks.export_to_csv(raw.select("`ID IMDb`"), "x", f"{folder}/data/raw")
 
 
+def test_pages_by_default_markers(spark):
+    from marquee.sources import pages
+
+    card = lambda inner: f'<div class="a c-siteReviewHeader_reviewScore b"><a href="#"><div><div>{inner}</div></div></a></div>'
+    blocks = (
+        '<div id="u" data-testid="critic-reviews-title"><div><div></div><div><a href="/first">1</a></div></div>'
+        '<div><div><a href="/second">2</a></div><div><p><a id="x" href="https://www.metacritic.com/movie/a-b?x=1&amp;y">3</a></p></div></div></div>'
+    )
+    rows = [
+        (1, "<script>Showing 9 Critic Reviews</script>Showing <b>3</b> Critic Reviews" + card("<span> 85 </span>") + card("tbd") + card("<span>&#57;&#x30;</span>") + card("<span>1</span>") + blocks),
+        (2, "showing 1 critic reviews" + card("") + "<p><span>77</span></p>"),
+        (3, "no count" + card("<span>5</span>") + '<div data-testid="critic-reviews-title"><div><a href="/x">x</a></div></div><div><div></div><div><a href="/y">y</a></div></div>'),
+        (4, None),
+        (5, ""),
+    ]
+    df = spark.createDataFrame([(i, "https://db.example/title/1", h) for i, h in rows], "page_id INT, url STRING, html STRING")
+    found = pages.review_scores(df)
+    assert {r.page_id: (r.declared, r.cards) for r in found.collect()} == {1: (3, ["85", "tbd", "90"]), 2: (1, [""]), 3: (None, None), 4: (None, None), 5: (None, None)}
+    assert sorted((r.page_id, r.sample_index, r.score) for r in pages.score_rows(found).filter("score is not null").collect()) == [(1, 1, 85), (1, 3, 90)]
+    assert sorted((r.id, r.sample_index, r.text) for r in pages.score_rejects(found).collect()) == [(1, 2, "tbd"), (2, 1, "")]
+    assert sorted(r.id for r in pages.pages_without_count(found).collect()) == [3, 4, 5]
+    links = {r.page_id: (r.link, r.slug) for r in pages.review_links(df).collect()}
+    assert links[1] == ("https://www.metacritic.com/movie/a-b?x=1&y", "a-b") and all(links[k] == (None, None) for k in (2, 3, 4, 5))
+
+
 def test_rejects(spark, folder):
     path = f"{folder}/rejects"
     assert sinks.read_rejects(spark, path).count() == 0
