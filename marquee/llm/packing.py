@@ -303,7 +303,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string" + ", ids binary" * content
     if few:
         return arrow(placed.drop("rate"), _layout([r["n"] for r in first], rates, length, content), schema)
-    table = queues.select("at", "n", "rate").orderBy("at").toArrow()  # numbers only
+    table = queues.select("at", "n", "rate").orderBy("at").toArrow()  # a row for each source
     totals, rates = table["n"].to_numpy(), table["rate"].to_numpy()
     step = max(1, ORDERED // length)
     ranges = spark.range(int(totals.sum()) // (length * step) + 1)
