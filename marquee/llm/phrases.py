@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.base import arrow, col, texts
+from marquee.llm.base import arrow, col, pieces, texts
 from marquee.llm.words import Words, mix
 from marquee.session import discard, materialise
 
@@ -26,7 +26,7 @@ from marquee.session import discard, materialise
 #: takes its place; rows for each language.
 LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2_000
 #: Bytes of text in a block. A text goes on in the next block with the words before the cut as context.
-BLOCK = 3 << 19
+BLOCK = 1 << 20
 
 #: What ends a piece, and what ends a word within one.
 _ENDS, _GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -107,7 +107,7 @@ def _cut(size: int, longest: int):
         from pyspark import TaskContext
 
         number, held, total = TaskContext.get().partitionId() << 33, [], 0
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole)):
             for text, lang in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
                 for part, context in segments(text or b"", size, longest - 1):
                     held.append((lang, part, context))

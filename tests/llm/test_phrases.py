@@ -45,7 +45,7 @@ def _rows():
     return [(t, rng.choice(langs)) for t in texts] + [("New York City is new York city", "en")] * 7
 
 
-@pytest.mark.parametrize("longest, least, share, top, block", [(3, 10, 50, 2000, 3 << 19), (3, 3, 50, 7, 40), (4, 2, 80, 50, 300), (2, 1, 50, 30, 64)])
+@pytest.mark.parametrize("longest, least, share, top, block", [(3, 10, 50, 2000, 1 << 20), (3, 3, 50, 7, 40), (4, 2, 80, 50, 300), (2, 1, 50, 30, 64)])
 def test_mine(spark, monkeypatch, longest, least, share, top, block):
     """Also with blocks of a few words, so that most phrases lie across the cuts."""
     monkeypatch.setattr(phrases, "BLOCK", block)
