@@ -237,12 +237,6 @@ def _visits(index: Index, queries: np.ndarray, found: list[np.ndarray]) -> int:
         most *= 4
 
 
-def _norm(name: str):
-    """Length of a vector, its components divided by the largest first, so that no square overflows."""
-    most = F.array_max(F.transform(name, F.abs))
-    return most * F.sqrt(F.aggregate(name, F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
-
-
 def search(vectors: DataFrame, asked, vec_id: str = "vec_id", vector: str = "embedding", n: int = 20, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): the n nearest found of every row for which the column expression `asked` holds.
 
@@ -258,11 +252,13 @@ def search(vectors: DataFrame, asked, vec_id: str = "vec_id", vector: str = "emb
     fine = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.where(F.col("id").isNotNull() & fine).groupBy("id").agg(F.min("v").alias("v"), F.bool_or("asked").alias("asked"))
     rows = materialise(rows)
-    facts = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.max(_norm("v")).alias("largest")).first()
+    facts = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not facts["n"]:
         return empty
-    dim, largest = facts["dim"], facts["largest"]
+    dim, most = facts["dim"], facts["most"]  # lengths in units of the largest component: no square overflows
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+    largest = rows.agg(F.max(length).alias("longest")).first()["longest"] * most
     few = rows.withColumn("k", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("k") <= n + 1)
     packed = few.groupBy("v").agg(F.min("id").alias("class"), F.sort_array(F.collect_list("id")).alias("ids")).select("class", "v", "ids")
     classes = materialise(arrow(packed, _packed(dim), "class long, vector binary, ids array<long>"))
