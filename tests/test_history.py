@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from marquee.operators.history import coworkers, earlier_successes, success_counts
+from marquee.operators import history
+from marquee.operators.history import coworkers, distinct_reached, earlier_successes, success_counts
 from marquee.operators.ordering import numbered
 
 OUT = {"d": "director", "c": "cast"}
@@ -85,6 +86,40 @@ def test_busy_people_never_meet(spark):
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, few.collect()))
 
 
+def test_short_sets_need_no_bitmaps(spark, monkeypatch):
+    """Forty hubs, at most three a film: the sets are counted by their subsets, no link of a hub becomes a bitmap."""
+    rng = random.Random(3)
+    films = [(f"m{i}", rng.randint(2000, 2006), rng.random() < 0.5) for i in range(300)]
+    involved = sorted({(f, -1 - rng.randrange(40), "director") for f, _, _ in films for _ in range(3)} | {(f, rng.randint(1, 90), "director") for f, _, _ in films})
+    made, plain = [], history.item_bitmaps
+    monkeypatch.setattr(history, "item_bitmaps", lambda links: made.append(links.count()) or plain(links))
+    assert run(spark, films, involved, 15) == brute(films, involved)
+    assert sum(made) == 0
+
+
+def test_pairs_are_shuffled_once(spark):
+    """What a film reaches through people with few films is shuffled by film once, as lists."""
+    films = spark.createDataFrame([(f"m{i}", 2000 + i % 5, i % 2 == 0) for i in range(60)], "imdb_id STRING, release_year INT, nominated_oscar BOOLEAN")
+    involved = spark.createDataFrame([(f"m{i}", i % 7, "director") for i in range(60)], "movie_id STRING, person_id BIGINT, role STRING")
+    plan = success_counts(films, involved, {"d": "director"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(role") == 1
+    assert plan.index("Generate explode(items") < plan.index("Exchange hashpartitioning(role")  # the plan is printed from its end
+
+
+@pytest.mark.parametrize("few", [0, 1, 2, 6])
+@pytest.mark.parametrize("hot", [1, 4, 12])
+def test_sets_of_any_size(spark, few, hot):
+    rng = random.Random(few * 100 + hot)
+    mine = [(f"k{i}", rng.choice([*range(8)] * 3 + [*range(8, 60)]), 2000 + i % 4) for i in range(60) for _ in range(rng.randint(1, 7))]
+    theirs = [(rng.choice([*range(8)] * 2 + [*range(8, 60)]), f"t{i}", 1999 + i % 4) for i in range(120) for _ in range(rng.randint(1, 5))]
+    want = {}
+    for k, via, year in mine:
+        want.setdefault(k, set()).update(t for v, t, then in theirs if v == via and then < year)
+    m, t = spark.createDataFrame(mine, "key STRING, via INT, year INT"), spark.createDataFrame([*theirs, (None, "t0", 1999)] * 2, "via INT, item STRING, then INT")
+    got = {r.key: r.n for r in distinct_reached(m, t, ["key"], hot, few).collect()}
+    assert {k: n for k, n in got.items() if n} == {k: len(s) for k, s in want.items() if s}
+
+
 @pytest.mark.parametrize("role", [None, "director", "cast"])
 @pytest.mark.parametrize("hot", [0, 8, 1000])
 def test_coworkers(spark, hot, role):
