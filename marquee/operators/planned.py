@@ -11,7 +11,7 @@ from marquee.functions.stats import ratio
 from marquee.operators.ordering import split_points, with_running_totals, with_slot
 from marquee.operators.profile import correlation_matrix, top_categories
 from marquee.operators.quantiles import SMALL_ROWS, exact_quantiles
-from marquee.operators.sizing import broadcast_if_small
+from marquee.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
 from marquee.session import materialise
 
 
@@ -80,17 +80,26 @@ def keyword_flags(df: DataFrame, text: str, keywords: Mapping[str, str]) -> Data
     return df.withColumns({o: found(w) for o, w in keywords.items()})
 
 
-def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
+def tf_idf(df: DataFrame, key: str, text: str, frequent: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """(key, term, tf, df, weight): exact term weights, one row per document and term.
 
     Terms are lower-case runs between white space; weight = tf * ln((documents + 1) / (df + 1)). A document without a
-    term has no row but counts as a document. Counts are combined before each shuffle."""
+    term has no row but counts as a document. Texts are shuffled by key and cut into terms after it, so a document's terms are
+    counted where it lies, once: the counts are written. They meet the most frequent terms, or all if they are few, without
+    moving; only rows of the rarer terms are shuffled by term. Parts of texts are not merged, as their terms are far larger."""
     terms = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda t: t != "")
-    tf = df.select(F.col(key), F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    per_term = tf.groupBy("term").agg(F.count("*").alias("df"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_key = df.select(F.col(key), F.col(text)).repartition(parts, F.col(key))
+    tf = materialise(by_key.select(F.col(key), F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf")))
+    per_term = materialise(tf.groupBy("term").agg(F.count("*").alias("df")))
     documents = df.agg(F.count("*").alias("documents"))  # one row
+    often = per_term.orderBy(F.col("df").desc(), "term").limit(frequent)
+    weighed = tf.join(F.broadcast(often), "term", "left")
+    known = weighed.filter(F.col("df").isNotNull())
+    if per_term.count() > frequent:
+        known = known.unionByName(weighed.filter(F.col("df").isNull()).drop("df").join(per_term, "term").select(*known.columns))
     weight = F.col("tf") * F.log((F.col("documents") + 1) / (F.col("df") + 1))
-    return tf.join(per_term, "term").join(F.broadcast(documents)).select(key, "term", "tf", "df", weight.alias("weight"))
+    return known.join(F.broadcast(documents)).select(key, "term", "tf", "df", weight.alias("weight"))
 
 
 def indicator_columns(named: DataFrame, name: str, k: int, prefix: str) -> DataFrame:

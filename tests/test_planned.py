@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -44,3 +46,22 @@ def test_redundant_features(spark):
 def test_named_results(spark):
     df = spark.createDataFrame([("x", 1, 1), ("x", 2, 2), ("", 3, 3), (None, 4, 4)], "name STRING, v INT, completed INT")
     assert [(r["name"], r["v"]) for r in named_results(df).collect()] == [("x", 2)]
+
+
+@pytest.mark.parametrize("frequent", [0, 2, 1000])
+def test_tf_idf_moves_texts_once(spark, frequent):
+    """Weights by hand, with a repeated key; counts are shuffled by term only for terms that are not frequent."""
+    rows = [(1, "a b a C"), (1, "a"), (2, " b\tc "), (3, None), (4, "d"), (None, "a a")]
+    counts = {}
+    for key, text in rows:
+        for word in (text or "").lower().split():
+            counts.setdefault((key, word), 0)
+            counts[key, word] += 1
+    df = {w: len({k for k, x in counts if x == w}) for _, w in counts}
+    out = planned.tf_idf(spark.createDataFrame(rows, "id INT, text STRING"), "id", "text", frequent)
+    got = {(r.id, r.term): (r.tf, r.df, round(r.weight, 9)) for r in out.collect()}
+    assert got == {(k, w): (n, df[w], round(n * math.log(7 / (df[w] + 1)), 9)) for (k, w), n in counts.items()}
+    assert out.count() == len(counts)
+    if frequent == 1000:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(term" not in plan and "SortMergeJoin" not in plan
