@@ -40,8 +40,8 @@ def printable_bytes() -> dict[int, str]:
 
 
 @lru_cache(maxsize=1)
-def late_characters() -> tuple[regex.Pattern, dict[int, str], dict[int, str]]:
-    """What finds letters and numbers that Python's own Unicode tables do not have yet, the lower case of each, and a
+def late_characters() -> tuple[frozenset[str], dict[int, str], dict[int, str]]:
+    """Letters and numbers that Python's own Unicode tables do not have yet, the lower case of each, and a
     stand-in, neither letter nor number, for those that the tokenizers library does not have either. Its tables lie between
     those of Python and of the regex module, so its own steps are asked, once for each process."""
     from tokenizers import Regex, normalizers, pre_tokenizers
@@ -49,11 +49,11 @@ def late_characters() -> tuple[regex.Pattern, dict[int, str], dict[int, str]]:
     unassigned = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) == "Cn")
     late = regex.findall(r"[\p{L}\p{N}]", unassigned)
     if not late:
-        return regex.compile("(?!)"), {}, {}
+        return frozenset(), {}, {}
     lines = "\n".join(late)
     lower = normalizers.Lowercase().normalize_str(lines).split("\n")
     known = {t for t, _ in pre_tokenizers.Split(Regex(r"[^\p{L}\p{N}]"), "removed").pre_tokenize_str(lines)}
-    return regex.compile("[" + "".join(late) + "]"), {ord(c): x for c, x in zip(late, lower) if x != c}, {ord(c): "\ue000" for c in late if c not in known}
+    return frozenset(late), {ord(c): x for c, x in zip(late, lower) if x != c}, {ord(c): "\ue000" for c in late if c not in known}
 
 
 class Bpe:
@@ -82,7 +82,7 @@ class Bpe:
         if text.isascii():
             return text.lower()
         text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
-        return text.translate(self.late_lower) if self.late.search(text) else text
+        return text if self.late.isdisjoint(text) else text.translate(self.late_lower)
 
     def pretokens(self, text: str) -> list[str | int]:
         """Pre-tokens in order; a special string inside the text is its id."""
@@ -97,7 +97,7 @@ class Bpe:
         return out
 
     def _found(self, text: str) -> list[str]:
-        if text.isascii() or not self.late.search(text):
+        if text.isascii() or self.late.isdisjoint(text):
             return self.pattern.findall(text)
         return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.instead))]
 

@@ -1,6 +1,7 @@
 """Encoding, counts and packing against the tokenizers library."""
 
 import hashlib
+import timeit
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -55,6 +56,17 @@ def test_every_character(library):
     assert not wrong
 
 
+def test_accented_chunks_cost_like_plain_ones():
+    """Whether a letter is newer than Python's tables is looked up, not searched for in a class of thousands."""
+    model = bpe.loaded(bpe.vocabulary_path())
+
+    def seconds(letter):
+        chunks = [f"{letter}ab{i}" for i in range(2000)]
+        return min(timeit.repeat(lambda: [model.pretokens(c) for c in chunks], number=1, repeat=5))
+
+    assert seconds("\u00e9") < 15 * seconds("e")
+
+
 def test_whole_tokens_encode_alone():
     whole = sorted(bpe.loaded(bpe.vocabulary_path()).whole_tokens())
     assert len(whole) > 1000
