@@ -67,6 +67,17 @@ def test_accented_chunks_cost_like_plain_ones():
     assert seconds("\u00e9") < 15 * seconds("e")
 
 
+def test_accented_chunks_are_counted_like_plain_ones():
+    """The counter of op9 on chunks that it has not met."""
+
+    def seconds(letter):
+        count = tokens._counter(bpe.vocabulary_path()).fn  # without what it remembers
+        chunks = [f"{letter}ab{i}".encode() for i in range(2000)]
+        return min(timeit.repeat(lambda: [count(c) for c in chunks], number=1, repeat=5))
+
+    assert seconds("\u00e9") < 15 * seconds("e")
+
+
 def test_whole_tokens_encode_alone():
     whole = sorted(bpe.loaded(bpe.vocabulary_path()).whole_tokens())
     assert len(whole) > 1000
