@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from marquee.operators import metrics
@@ -119,3 +120,13 @@ def test_areas_by_group(spark):
     rows = [("a", 0.5, 1), ("a", 0.5, 0), ("a", 0.2, 0), ("b", 0.1, 1), ("b", 0.9, 0), ("c", 0.3, 1)]
     got = scores_by_group(spark.createDataFrame(rows, "g STRING, prob DOUBLE, label INT"), "g", "prob").collect()
     assert {r.g: (r.n, r.positives, r.roc_auc) for r in got} == {"a": (3, 1, 0.75), "b": (2, 1, 0.0), "c": (1, 1, None)}
+
+
+def test_boosted_trees_write_no_node_ids(spark):
+    """Node ids are no part of the model: with and without a cache of them the trees are the same, and none is asked for."""
+    rows = [(Vectors.dense(float(i % 7), float(i * 37 % 11)), float(i % 3 == 0), 1.0 + i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, ["features", "label", "weight"])
+    plain = train.boosted(rounds=3, depth=3)
+    assert not plain.getCacheNodeIds()
+    trees = lambda model: [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+    assert trees(plain.fit(df)) == trees(train.boosted(rounds=3, depth=3).setCacheNodeIds(True).fit(df))
