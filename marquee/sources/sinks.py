@@ -100,15 +100,21 @@ def commit(spark: SparkSession, root: str, run: str) -> int:
 
     A version is a folder that is there or not: its name is claimed by moving a folder made before, which holds the run's
     name, onto it. The move fails if another publisher has the number, who then took it whole, and the next one is tried.
-    No version is lost or overwritten, and what a reader finds is complete."""
+    No version is lost or overwritten, and what a reader finds is complete. The local file system may copy a folder below one
+    that came in between instead of failing: readers do not look there, and the next number is tried with a new claim."""
     fs, folder = _versions(spark, root)
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
     option = spark._jvm.org.apache.hadoop.fs.Options.Rename
     plain = spark.sparkContext._gateway.new_array(option, 0)
-    claim = jpath(folder, f"_claim-{uuid.uuid4().hex}")
-    fs.mkdirs(claim)
-    fs.create(jpath(claim, run), False).close()
+
+    def claimed():
+        claim = jpath(folder, f"_claim-{uuid.uuid4().hex}")
+        fs.mkdirs(claim)
+        fs.create(jpath(claim, run), False).close()
+        return claim
+
+    claim = claimed()
     version = (_listed(fs, folder) or [0])[-1]
     while True:
         version += 1
@@ -119,6 +125,9 @@ def commit(spark: SparkSession, root: str, run: str) -> int:
             if not fs.exists(target):
                 raise
             continue
+        if fs.exists(jpath(target, claim.getName())):
+            claim = claimed()
+            continue
         if not fs.exists(jpath(target, run)):
             raise RuntimeError(f"version {version} of {root} was taken while it was claimed")
         return version
