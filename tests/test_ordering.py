@@ -118,3 +118,17 @@ def test_wide_values_rank_as_they_are(spark, descending, parts):
         for k, v in own:
             before = [w for _, w in own if w is not None and (v is None or (w > v if descending else w < v))]
             assert got[k] == 1 + len(before)
+
+
+def test_ranked_rows_are_computed_for_the_points_and_the_slots_only(spark):
+    """The slots are written before they are counted and joined, so the input is not computed again for each use."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def value(i):
+        seen.add(1)
+        return float(i % 7)
+
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("g"), F.udf(value, "double")("id").alias("x"))
+    ranked = {r["k"]: r["r"] for r in rank_in_group(rows, "g", "x", "k", "r").collect()}
+    assert ranked[6] == 1 and ranked[5] == 15 and len(ranked) == 100
+    assert seen.value <= 200
