@@ -113,3 +113,23 @@ def test_splits_read_their_years(spark, folder):
     joined = stored.join(F.broadcast(years), F.col("release_year") == F.col("year"))
     assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString().lower()
     assert joined.count() == rows.filter("release_year = 2005").count()
+
+
+def test_input_tables_move_only_what_they_need(spark, folder):
+    """Scores are settled by the columns up to their own; both bridges of parts come from one join, null types and repeated parts
+    included."""
+    from checks import film
+
+    part = [(1, "A", "x"), (1, "B", "x"), (2, None, "y"), (3, "A", None), (4, "C", "z"), (None, "A", "x")]
+    spark.createDataFrame(part, "p_partkey BIGINT, p_type STRING, p_brand STRING").write.parquet(f"{folder}/part.parquet")
+    kinds = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate DATE"
+    lines = [(k % 5, k % 2, p, s, q, float(-k), 0.0, 0.0, "R", "F", None) for k, (p, s, q) in enumerate((p, s, q) for p in (None, 1, 2, 3, 4, 9) for s in (None, 1) for q in (None, 1.0, 2.0))]
+    spark.createDataFrame(lines, kinds).write.parquet(f"{folder}/lineitem.parquet")
+    links = film.part_links(spark, folder)
+    for column, id_column in (("p_type", "genre_id"), ("p_brand", "language_id")):
+        got, want = film.bridge_of(links, id_column), film.part_bridge(spark, folder, column, id_column)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    scores = film.rating_samples(spark, folder)
+    want = film.lines(spark, folder).select(F.col("l_orderkey").cast("string"), (F.col("l_quantity") * 2).cast("smallint"), "l_linenumber")
+    assert sorted(map(str, scores.collect())) == sorted(map(str, want.toDF(*scores.columns).collect()))
+    assert "l_shipdate" not in scores._jdf.queryExecution().executedPlan().toString()

@@ -146,3 +146,34 @@ def test_numbered(spark):
     got = numbered(spark.createDataFrame(rows, "a int, b int").repartition(7), ["a", "b"], "n").orderBy("n").collect()
     assert [r.n for r in got] == list(range(300))
     assert [(r.a, r.b) for r in got] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+
+
+@pytest.mark.parametrize("lists", [0, 2, 64])
+def test_keys_with_few_and_many_lists(spark, monkeypatch, lists):
+    """Lists of a key are counted as one, or unfolded where there are more of them than the limit; the numbers are the same."""
+    rng = random.Random(5)
+    films = [(f"m{i}", rng.randint(2000, 2006), rng.random() < 0.5) for i in range(120)]
+    films.append(("m0", 2006, True))  # a key of two years
+    involved = [(f, rng.randrange(50), rng.choice(["director", "cast"])) for f, _, _ in films for _ in range(rng.randint(1, 6))]
+    monkeypatch.setattr(history, "LISTS", lists)
+    years = {}
+    for f, y, g in films:
+        years.setdefault(f, []).append((y, g))
+    want = {}
+    for f, ys in years.items():
+        for o, role in OUT.items():
+            mine = {p for m, p, r in involved if m == f and r == role}
+            met = {m for m, p, _ in involved if p in mine and any(g and then < y for then, g in years[m] for y, _ in ys)}
+            if met:
+                want.setdefault(f, {"d": 0, "c": 0})[o] = len(met)
+    assert run(spark, films, involved, 5000) == want
+
+
+def test_lists_hold_numbers_and_are_not_unfolded(spark):
+    """Earlier films are shuffled as numbers, whatever their keys are, and are put together by film before any is unfolded."""
+    films = spark.createDataFrame([(f"m{i}", 2000 + i % 5, i % 2 == 0) for i in range(60)], "imdb_id STRING, release_year INT, nominated_oscar BOOLEAN")
+    involved = spark.createDataFrame([(f"m{i}", i % 7, "director") for i in range(60)], "movie_id STRING, person_id BIGINT, role STRING")
+    plan = success_counts(films, involved, {"d": "director"})._jdf.queryExecution().executedPlan().toString()
+    assert "array_distinct" in plan and "collect_list(items" in plan
+    scanned = [line for line in plan.split("\n") if "FileScan parquet" in line and "item" in line]
+    assert scanned and all("item:bigint" in line for line in scanned)
