@@ -148,7 +148,7 @@ def test_numbered(spark):
     assert [(r.a, r.b) for r in got] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
 
 
-@pytest.mark.parametrize("lists", [0, 2, 64])
+@pytest.mark.parametrize("lists", [0, 2, 16])
 def test_keys_with_few_and_many_lists(spark, monkeypatch, lists):
     """Lists of a key are counted as one, or unfolded where there are more of them than the limit; the numbers are the same."""
     rng = random.Random(5)
@@ -174,6 +174,6 @@ def test_lists_hold_numbers_and_are_not_unfolded(spark):
     films = spark.createDataFrame([(f"m{i}", 2000 + i % 5, i % 2 == 0) for i in range(60)], "imdb_id STRING, release_year INT, nominated_oscar BOOLEAN")
     involved = spark.createDataFrame([(f"m{i}", i % 7, "director") for i in range(60)], "movie_id STRING, person_id BIGINT, role STRING")
     plan = success_counts(films, involved, {"d": "director"})._jdf.queryExecution().executedPlan().toString()
-    assert "array_distinct" in plan and "collect_list(items" in plan
+    assert "array_distinct(flatten(" in plan
     scanned = [line for line in plan.split("\n") if "FileScan parquet" in line and "item" in line]
     assert scanned and all("item:bigint" in line for line in scanned)
